@@ -1,12 +1,12 @@
 """DuckDB SQL with the same meaning as the registered queries, written independently of them.
 
-Similarity is brute force over all row pairs, containment is a plain ``contains`` join and the
+Similarity is brute force over all row pairs, containment is a plain ``contains`` join (cleaned texts are lower case) and the
 greedy deduplication is a recursive query, so the SQL shares no shortcut with the Spark code.
 """
 
 from __future__ import annotations
 
-from topicpulse.catalog.registry import FILTERED
+from topicpulse.catalog.registry import EMPTIED_DAY, FILTERED, RERUN_DAY
 from topicpulse.catalog.setup import (
     CONFIG, DOCUMENT_THEMES, EVENT_THEMES, NEGATIVE_WORDS, POSITIVE_WORDS, RUN_DAY,
 )
@@ -34,6 +34,10 @@ def _tokens(x: str) -> str:
             f"AND NOT list_contains({_words(CONFIG.stopwords)}, translate(t, '{_ACCENTED}', '{_PLAIN}')))")
 
 
+def _hits(words) -> str:
+    return f"len(list_filter({_chunks('texto_completo')}, lambda t: list_contains({_words(words)}, t)))"
+
+
 def _terms(x: str) -> str:
     return f"regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}_]{{2,}}')"
 
@@ -184,7 +188,7 @@ def _matches(articles: str, words: str) -> str:
     return f""",
 achados AS (
   SELECT t.data, t.termo, a.label, a.score, a.fonte
-  FROM {words} t JOIN {articles} a ON a.data = t.data AND contains(lower(a.texto_completo), t.termo))"""
+  FROM {words} t JOIN {articles} a ON a.data = t.data AND contains(a.texto_completo, t.termo))"""
 
 
 def _by_term(source: str) -> str:
@@ -246,6 +250,17 @@ _DEDUPED = "WITH RECURSIVE" + _NEWS + _CLEAN + _pairs("limpas") + _GREEDY
 _SILVER = _DEDUPED + _PREDICTIONS + _scored("unicas")
 _EV = "WITH" + _EVENT_GOLD + "\n"
 
+# The daily run orders a batch by source and link, and scores with the word lists.
+_ARRIVAL = _NEWS.replace(
+    "SELECT doc_id AS ordem", "SELECT row_number() OVER (PARTITION BY doc_id % 30 ORDER BY source, 'doc/' || doc_id) AS ordem")
+_RUN = ("WITH RECURSIVE" + _ARRIVAL + _CLEAN + _pairs("limpas") + _GREEDY + """,
+acertos AS (SELECT *, HITS_P AS p, HITS_N AS n FROM unicas),
+pontuadas AS (
+  SELECT *, CASE WHEN p > n THEN 'POS' WHEN n > p THEN 'NEG' ELSE 'NEU' END AS label,
+         CASE WHEN p + n = 0 THEN 1.0 WHEN p = n THEN 0.5 ELSE greatest(p, n) / (p + n) END AS score
+  FROM acertos)""".replace("HITS_P", _hits(POSITIVE_WORDS)).replace("HITS_N", _hits(NEGATIVE_WORDS))
+    + _frequency("unicas"))
+
 _G1_COLUMNS = ("data, termo, frequencia, round(tfidf_score, 6) AS tfidf_score, round(z_score, 6) AS z_score, "
                "emergente, tema, round(sentimento_medio_termo, 6) AS sentimento_medio_termo, "
                "sentimento_predominante_termo, fontes")
@@ -276,10 +291,6 @@ FROM (SELECT count(*) AS linhas_no_periodo,
 WHERE linhas_no_periodo > 0"""
 
 
-def _hits(words) -> str:
-    return f"len(list_filter({_chunks('texto_completo')}, lambda t: list_contains({_words(words)}, t)))"
-
-
 def _top(metric: str, k: int, where: str = "true") -> str:
     return f"(SELECT * FROM hoje WHERE {where} ORDER BY {metric} DESC NULLS LAST, termo LIMIT {k})"
 
@@ -347,6 +358,18 @@ SELECT data_coleta, extraidas, coalesce(limpas, 0) AS limpas, coalesce(unicas, 0
 FROM (SELECT data_coleta, count(*) AS extraidas FROM news GROUP BY 1)
 LEFT JOIN (SELECT data_coleta, count(*) AS limpas FROM limpas GROUP BY 1) USING (data_coleta)
 LEFT JOIN (SELECT data_coleta, count(*) AS unicas FROM unicas GROUP BY 1) USING (data_coleta)""",
+    "feed_items": "WITH" + _NEWS + """
+SELECT titulo, regexp_replace(resumo, '<[^>]+>', '', 'g') AS resumo, data_publicacao, link, fonte, data_coleta FROM news""",
+    "run_summary": _RUN + """
+SELECT data, total_noticias, total_termos
+FROM (SELECT data, count(*) AS total_noticias FROM pontuadas GROUP BY data)
+JOIN (SELECT data, count(*) AS total_termos FROM freq GROUP BY data) USING (data)""",
+    "incremental_run": _RUN + _doc_tfidf("unicas") + _emergence("freq") + _matches("pontuadas", "freq")
+        + _by_term("achados") + _gold1(DOCUMENT_THEMES) + f" SELECT {_G1_COLUMNS} FROM g1",
+    "upsert_result": _EV + f"""
+SELECT {_G1_COLUMNS} FROM g1 WHERE data NOT IN ('{RERUN_DAY}', '{EMPTIED_DAY}')
+UNION ALL SELECT {_G1_COLUMNS} FROM (SELECT * REPLACE (frequencia * 10 AS frequencia) FROM g1
+                                     WHERE data = '{RERUN_DAY}' AND frequencia > 1)""",
     "baseline": "WITH" + _EVENTS + f"""
 SELECT termo, round(avg(frequencia), 6) AS media_frequencia, round(stddev_samp(frequencia), 6) AS std_frequencia
 FROM dias WHERE CAST(data AS DATE) >= DATE '{RUN_DAY}' - {CONFIG.history_days} AND CAST(data AS DATE) < DATE '{RUN_DAY}'

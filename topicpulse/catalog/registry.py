@@ -13,8 +13,10 @@ from topicpulse.catalog.setup import (
 )
 from topicpulse.functions import dates, labels, text, themes
 from topicpulse.operators import clean, dedup, sentiment, similarity, term_sentiment, terms, trends
-from topicpulse.plans import gold, products
-from topicpulse.sources import views
+from topicpulse.plans import daily, gold, products
+from topicpulse.runtime import scratch_path
+from topicpulse.sources import feeds, tables, views
+from topicpulse.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,6 +165,46 @@ def run_counts(spark, sf):
         "duplicatas", F.col("limpas") - F.col("unicas"))
 
 
+# --- feeds, runs and the incremental run ---------------------------------------------------
+
+def _land_feeds(spark, sf) -> str:
+    """The documents as feed files, one folder per source and day."""
+    folder = scratch_path(spark, "landing")
+    (views.news(spark, sf).select(
+        F.col("titulo").alias("title"), F.concat(F.lit("<p>"), "resumo", F.lit("</p>")).alias("description"),
+        F.col("data_publicacao").alias("pubDate"), "link", "fonte", "data_coleta")
+     .write.format("xml").option("rowTag", "item").option("rootTag", "channel")
+     .partitionBy("fonte", "data_coleta").save(folder))
+    return folder
+
+
+def feed_items(spark, sf):
+    items = feeds.require_any_source(feeds.read_feed_items(spark, _land_feeds(spark, sf)))
+    return feeds.project_feed(items)
+
+
+def _all_days() -> list[str]:
+    return [dates.shift_day(views.FIRST_DAY, i) for i in range(views.BATCH_DAYS)]
+
+
+def run_summary(spark, sf):
+    """A run over all days from stored bronze: articles and terms per day."""
+    base = scratch_path(spark, "run")
+    tables.write_bronze(views.news(spark, sf).drop("ordem"), daily.Layout(base).bronze)
+    score = sentiment.lexicon_scorer(POSITIVE_WORDS, NEGATIVE_WORDS)
+    return daily.run_days(spark, base, _all_days(), CONFIG, score).select(
+        "data", "total_noticias", "total_termos")
+
+
+def incremental_run(spark, sf):
+    """Feed files through the stream to gold; the topics table read back."""
+    base = scratch_path(spark, "incremental")
+    stream = incremental.feed_stream(spark, _land_feeds(spark, sf))
+    score = sentiment.lexicon_scorer(POSITIVE_WORDS, NEGATIVE_WORDS)
+    incremental.ingest(stream, base, CONFIG, score, f"{base}/checkpoint")
+    return rounded(tables.read_gold_topics(spark, daily.Layout(base).topics))
+
+
 # --- events as dated terms ----------------------------------------------------------------
 
 def event_gold(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -176,6 +218,20 @@ def event_gold(spark, sf) -> tuple[DataFrame, DataFrame]:
     return g1, gold.gold_themes(ev, EVENT_THEMES, "termo")
 
 
+RERUN_DAY, EMPTIED_DAY = "2024-01-20", "2024-01-21"
+
+
+def upsert_result(spark, sf):
+    """Store gold, rerun one day with other rows and one without rows; the table read back."""
+    path = scratch_path(spark, "gold")
+    g1 = event_gold(spark, sf)[0]
+    stored = tables.upsert_gold(g1, path, _all_days())
+    rerun = stored.filter((F.col("data") == RERUN_DAY) & (F.col("frequencia") > 1)).withColumn(
+        "frequencia", F.col("frequencia") * 10)
+    tables.upsert_gold(rerun, path, [RERUN_DAY, EMPTIED_DAY])
+    return rounded(tables.read_gold_topics(spark, path))
+
+
 def baseline(spark, sf):
     days = views.term_days(views.term_events(spark, sf))
     return rounded(trends.baseline(days, CONFIG.history_days, RUN_DAY))
@@ -251,6 +307,10 @@ QUERIES: dict[str, Query] = {
     "gold_theme_sentiment": gold_theme_sentiment,
     "source_counts": source_counts,
     "run_counts": run_counts,
+    "feed_items": feed_items,
+    "run_summary": run_summary,
+    "incremental_run": incremental_run,
+    "upsert_result": upsert_result,
     "kpis": _on_topics(products.kpis),
     "filtered_topics": filtered_topics,
     "filtered_kpis": filtered_kpis,
