@@ -50,7 +50,7 @@ def _doc_terms(df: DataFrame) -> DataFrame:
 
 
 def strip_html(spark, sf):
-    pages = views.read_table(spark, sf, "pages")
+    pages = views.read_table(spark, sf, "pages", spread_by="page_id")
     return pages.select("page_id", text.strip_html(F.col("html")).alias("texto"))
 
 
@@ -211,9 +211,10 @@ def event_gold(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Both gold tables from the events; an event is one mention of its term by its source."""
     ev = views.term_events(spark, sf)
     emerging = trends.emergence_backfill(views.term_days(ev), CONFIG.history_days, CONFIG.z_threshold)
-    sizes = ev.groupBy("data").agg(F.count_distinct("doc").alias("_n"))
-    weights = terms.tfidf_of_terms(ev.select("data", "doc", "termo"), sizes, "doc", ["data"],
-                                   CONFIG.min_corpus, CONFIG.max_features, terms.batch_count(ev, ["data"]))
+    # A document is one user on one day.
+    docs = ev.groupBy("data", "doc").agg(F.collect_list("termo").alias("termos"))
+    weights = terms.tfidf_of_lists(docs, "doc", F.col("termos"), ["data"], CONFIG.min_corpus,
+                                   CONFIG.max_features)
     g1 = gold.gold_topics(emerging, weights, term_sentiment.summarize_matches(ev), EVENT_THEMES)
     return g1, gold.gold_themes(ev, EVENT_THEMES, "termo")
 

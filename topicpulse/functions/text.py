@@ -8,11 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Whitespace as Unicode defines it (trim() alone only knows U+0020).
-SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
+SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+          "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 TAG = r"<[^>]+>"
 TERM_BREAK = r"[^\p{L}\p{N}_]+"
 NUMBER_MARK = r"[,:]([0-9])"
-CHUNK_BREAK = r'[' + SPACE + r';@#$%&?!"()\[\]{}<>,:]|--|\.\.\.'
+SEPARATORS = SPACES + ';@#$%&?!"()[]{}<>,:'
 TOKEN = r"^[a-zà-ü]+$"
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüæð÷ø"
 UNACCENTED = "aaaaaaceeeeiiiinooooouuuu"
@@ -25,7 +26,7 @@ def strip_html(col: Column) -> Column:
 
 def strip(col: Column) -> Column:
     """Remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(col, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.trim(col, F.lit(SPACES))
 
 
 def normalize_text(col: Column) -> Column:
@@ -39,7 +40,8 @@ def full_text(titulo: Column, resumo: Column) -> Column:
 
 
 def is_blank(col: Column) -> Column:
-    return strip(col) == ""
+    """NULL, empty or nothing but whitespace."""
+    return strip(F.coalesce(col.cast("string"), F.lit(""))) == ""
 
 
 def fold_accents(col: Column) -> Column:
@@ -53,7 +55,9 @@ def tokenize(col: Column) -> Column:
     A comma or colon before a digit does not separate, so such a chunk stays whole.
     """
     marked = F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), NUMBER_MARK, "\u0001$1")
-    return F.transform(F.split(marked, CHUNK_BREAK), lambda t: F.rtrim(t, F.lit(".")))
+    spaced = F.replace(F.replace(F.translate(marked, SEPARATORS, " " * len(SEPARATORS)),
+                                 F.lit("--"), F.lit(" ")), F.lit("..."), F.lit(" "))
+    return F.transform(F.split(spaced, " "), lambda t: F.rtrim(t, F.lit(".")))
 
 
 def filter_tokens(tokens: Column, stopwords: Iterable[str], fold: bool = False) -> Column:

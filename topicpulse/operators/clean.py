@@ -11,11 +11,10 @@ from topicpulse.functions import text as tx
 
 def clean_news(df: DataFrame) -> DataFrame:
     """Normalise title and summary, add ``texto_completo`` and drop blank rows."""
-    cleaned = (df.withColumn("titulo", tx.normalize_text(F.col("titulo")))
-               .withColumn("resumo", tx.normalize_text(F.col("resumo"))))
-    texto = tx.full_text(F.col("titulo"), F.col("resumo"))
-    return (cleaned.withColumn("texto_completo", texto)
-            .filter(~((F.col("titulo") == "") & (F.col("resumo") == ""))))
+    kept = df.filter(~(tx.is_blank(F.col("titulo")) & tx.is_blank(F.col("resumo"))))
+    return (kept.withColumn("titulo", tx.normalize_text(F.col("titulo")))
+            .withColumn("resumo", tx.normalize_text(F.col("resumo")))
+            .withColumn("texto_completo", tx.full_text(F.col("titulo"), F.col("resumo"))))
 
 
 def news_tokens(df: DataFrame, config: Config, text: str = "texto_completo") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from topicpulse.functions.text import vocabulary_terms
 from topicpulse.operators.terms import batch_count, smooth_idf
-from topicpulse.runtime import broadcast_if
+from topicpulse.runtime import broadcast_if, cut_lineage
 
 GUARD = 1e-9
 # Posting lists longer than this are split into blocks that are joined pairwise.
@@ -89,7 +89,8 @@ def similar_groups(keyed: DataFrame, batch: str, threshold: float,
     if n_batches is None:
         n_batches = batch_count(keyed, [batch])
     sizes = keyed.groupBy(batch).agg(F.count(F.lit(1)).alias("_n"))
-    vectors = title_vectors(title_groups(keyed, batch), sizes, batch, n_batches)
+    # Read five times below (three for the prefixes, two for the exact products).
+    vectors = cut_lineage(title_vectors(title_groups(keyed, batch), sizes, batch, n_batches))
     pairs = _candidates(vectors, batch, threshold, block)
 
     def role(i: str) -> DataFrame:

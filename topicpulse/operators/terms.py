@@ -27,14 +27,28 @@ def batch_count(df: DataFrame, by: Sequence[str]) -> int:
 
 
 def top_vocabulary(counts: DataFrame, by: Sequence[str], max_features: int) -> DataFrame:
-    """Most frequent ``max_features`` terms of each batch, ties by term.
+    """The ``max_features`` most frequent terms (``tf``) of each batch, ties by term.
 
     The rank filter becomes a group limit that runs before the shuffle, so a batch with a
     huge vocabulary still sends only ``max_features`` rows per task to its final sort.
     """
-    order = Window.partitionBy(*by).orderBy(F.desc("n_corpus"), F.asc("termo"))
+    order = Window.partitionBy(*by).orderBy(F.desc("tf"), F.asc("termo"))
     return (counts.withColumn("_pos", F.row_number().over(order))
-            .filter(F.col("_pos") <= max_features).select(*by, "termo"))
+            .filter(F.col("_pos") <= max_features).drop("_pos"))
+
+
+def term_counts(docs: DataFrame, by: Sequence[str], terms: Column) -> DataFrame:
+    """Occurrences ``tf`` and documents ``df`` of each term of a batch, in one shuffle.
+
+    Each document sends its terms, and its distinct terms once more; both are summed on the
+    map side, so no document key is shuffled.
+    """
+    listed = docs.select(*by, terms.alias("_termos"))
+    uses = F.transform("_termos", lambda t: F.struct(t.alias("termo"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
+    once = F.transform(F.array_distinct("_termos"),
+                       lambda t: F.struct(t.alias("termo"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
+    return (listed.select(*by, F.inline(F.concat(uses, once)))
+            .groupBy(*by, "termo").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
 
 
 def tfidf(docs: DataFrame, doc: str, text: str = "texto_completo", by: Sequence[str] = (),
@@ -45,34 +59,31 @@ def tfidf(docs: DataFrame, doc: str, text: str = "texto_completo", by: Sequence[
     Batches with fewer than ``min_corpus`` documents give no rows. ``doc`` identifies a row
     within its batch.
     """
-    terms = docs.select(*by, doc, F.explode(vocabulary_terms(F.col(text))).alias("termo"))
-    sizes = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    return tfidf_of_terms(terms, sizes, doc, by, min_corpus, max_features,
-                          batch_count(docs, by) if n_batches is None else n_batches)
+    return tfidf_of_lists(docs, doc, vocabulary_terms(F.col(text)), by, min_corpus, max_features,
+                          n_batches)
 
 
-def tfidf_of_terms(terms: DataFrame, sizes: DataFrame, doc: str, by: Sequence[str],
-                   min_corpus: int, max_features: int, n_batches: int) -> DataFrame:
-    """TF-IDF from one row per term occurrence and the document count ``_n`` per batch."""
+def tfidf_of_lists(docs: DataFrame, doc: str, terms: Column, by: Sequence[str] = (),
+                   min_corpus: int = 5, max_features: int = 200,
+                   n_batches: int | None = None) -> DataFrame:
+    """The same for documents whose terms are given as an array column."""
     if not by:
-        by, terms, sizes = ["_lote"], terms.withColumn("_lote", F.lit(0)), sizes.withColumn("_lote", F.lit(0))
-        return tfidf_of_terms(terms, sizes, doc, by, min_corpus, max_features, 1).drop("_lote")
+        one = docs.withColumn("_lote", F.lit(0))
+        return tfidf_of_lists(one, doc, terms, ["_lote"], min_corpus, max_features, 1).drop("_lote")
     by = list(by)
-    # At most max_features rows per batch, and one size row per batch.
-    vocab = top_vocabulary(terms.groupBy(*by, "termo").agg(F.count(F.lit(1)).alias("n_corpus")),
-                           by, max_features)
-    vocab_rows = n_batches * max_features
-    sizes = broadcast_if(sizes.filter(F.col("_n") >= min_corpus), n_batches)
-    tf = (terms.join(broadcast_if(vocab, vocab_rows), [*by, "termo"])
-          .groupBy(*by, doc, "termo").agg(F.count(F.lit(1)).alias("_tf")))
-    idf = (tf.groupBy(*by, "termo").agg(F.count(F.lit(1)).alias("_df")).join(sizes, by)
-           .select(*by, "termo", "_n", smooth_idf(F.col("_n"), F.col("_df")).alias("_idf")))
-    weights = (tf.join(broadcast_if(idf, vocab_rows), [*by, "termo"])
-               .select(*by, doc, "termo", "_n", (F.col("_tf") * F.col("_idf")).alias("_w")))
+    n_batches = batch_count(docs, by) if n_batches is None else n_batches
+    # One row per batch, and at most max_features rows per batch.
+    sizes = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_corpus)
+    vocab = (top_vocabulary(term_counts(docs, by, terms), by, max_features)
+             .join(broadcast_if(sizes, n_batches), by)
+             .select(*by, "termo", "_n", smooth_idf(F.col("_n"), F.col("df")).alias("_idf")))
+    weights = (docs.select(*by, doc, F.explode(terms).alias("termo"))
+               .join(broadcast_if(vocab, n_batches * max_features), [*by, "termo"])
+               .groupBy(*by, doc, "termo", "_n").agg(F.sum("_idf").alias("_w")))
     # A document holds at most max_features distinct kept terms.
-    per_doc = weights.groupBy(*by, doc).agg(
-        F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norma"), F.first("_n").alias("_n"),
+    per_doc = weights.groupBy(*by, doc, "_n").agg(
+        F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norma"),
         F.collect_list(F.struct("termo", "_w")).alias("_pesos"))
-    return (per_doc.select(*by, "_norma", "_n", F.inline("_pesos"))
+    return (per_doc.select(*by, "_n", "_norma", F.inline("_pesos"))
             .groupBy(*by, "termo")
             .agg((F.sum(F.col("_w") / F.col("_norma")) / F.first("_n")).alias("tfidf_score")))

@@ -12,13 +12,22 @@ PUBLICATION_STEP, PUBLICATION_DAYS, UNDATED_EVERY = 37, 23, 11
 LABEL_SCORES = {"POS": 0.9, "NEG": 0.8, "NEU": 0.6}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """One provided table.
+
+    A table of fewer files than cores is spread over them by ``spread_by``, since text work is
+    bound by CPU; tables with enough files keep their own splits and are not shuffled.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and len(df.inputFiles()) < cores:
+        df = df.repartition(cores, spread_by)
+    return df
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as news: first line is the title, the rest the summary."""
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", spread_by="doc_id")
     day = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"),
                                    (F.col("doc_id") % BATCH_DAYS).cast("int")), "yyyy-MM-dd")
     published = F.date_format(
