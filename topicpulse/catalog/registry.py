@@ -212,9 +212,8 @@ def event_gold(spark, sf) -> tuple[DataFrame, DataFrame]:
     ev = views.term_events(spark, sf)
     emerging = trends.emergence_backfill(views.term_days(ev), CONFIG.history_days, CONFIG.z_threshold)
     # A document is one user on one day.
-    docs = ev.groupBy("data", "doc").agg(F.collect_list("termo").alias("termos"))
-    weights = terms.tfidf_of_lists(docs, "doc", F.col("termos"), ["data"], CONFIG.min_corpus,
-                                   CONFIG.max_features)
+    counts = ev.groupBy("data", "doc", "termo").agg(F.count(F.lit(1)).alias("tf"))
+    weights = terms.tfidf_of_counts(counts, "doc", ["data"], CONFIG.min_corpus, CONFIG.max_features)
     g1 = gold.gold_topics(emerging, weights, term_sentiment.summarize_matches(ev), EVENT_THEMES)
     return g1, gold.gold_themes(ev, EVENT_THEMES, "termo")
 

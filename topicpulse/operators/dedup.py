@@ -66,20 +66,20 @@ def _meet(probes: DataFrame, sources: DataFrame, links: DataFrame) -> DataFrame:
     """
     width = (probes.groupBy("lote", F.col("grupo").alias("de"))
              .agg(F.max("fatias").alias("_largura")))
-    asked = links.join(width, ["lote", "de"])
-    p = (probes.withColumnRenamed("grupo", "de").join(links, ["lote", "de"])
+    asked = links.join(width, ["de", "lote"])
+    p = (probes.withColumnRenamed("grupo", "de").join(links, ["de", "lote"])
          .select("lote", "de", "para", "fatias",
                  F.pmod(F.xxhash64("ordem"), F.col("fatias")).cast("int").alias("fatia"),
                  "ordem", "pub", "link", F.lit(0).alias("tipo"),
                  F.lit(None).cast("boolean").alias("ativo")))
-    s = (sources.withColumnRenamed("grupo", "para").join(asked, ["lote", "para"])
+    s = (sources.withColumnRenamed("grupo", "para").join(asked, ["para", "lote"])
          .select("lote", "de", "para", "fatias",
                  F.explode(F.sequence(F.lit(0), F.col("_largura") - 1)).alias("fatia"),
                  "ordem", "pub", "link", F.lit(1).alias("tipo"), "ativo"))
     return p.unionByName(s)
 
 
-_CELL = ("lote", "de", "para", "fatia")
+_CELL = ("de", "para", "lote", "fatia")
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -131,18 +131,18 @@ def _resolve(df: DataFrame, threshold: float, batch: str, order: str, date_mode:
     linked = both.select("lote", F.col("de").alias("grupo")).distinct().withColumn("ligado", F.lit(True))
     groups = (rows.filter(F.col("chave") != "").groupBy("lote", "grupo")
               .agg(F.count(F.lit(1)).alias("_n"))
-              .join(linked, ["lote", "grupo"], "left")
+              .join(linked, ["grupo", "lote"], "left")
               .filter((F.col("_n") > 1) | F.col("ligado"))
               .select("lote", "grupo", F.coalesce("ligado", F.lit(False)).alias("ligado"),
                       F.ceil(F.col("_n") / slice_rows).cast("int").alias("fatias")))
     groups = cut_lineage(groups)
     links = both.unionByName(groups.select("lote", F.col("grupo").alias("de"),
                                            F.col("grupo").alias("para")))
-    members = rows.join(groups, ["lote", "grupo"]).select(*_ROW, "ligado")
+    members = rows.join(groups, ["grupo", "lote"]).select(*_ROW, "ligado")
 
     sliced = members.withColumn("_f", F.pmod(F.xxhash64("ordem"), F.col("fatias")))
-    kept = _prune(_prune(sliced, ["lote", "grupo", "_f"]), ["lote", "grupo"])
-    head = _before("lote", "grupo", order=[F.asc("ordem")], rows=_UP_TO)
+    kept = _prune(_prune(sliced, ["grupo", "lote", "_f"]), ["grupo", "lote"])
+    head = _before("grupo", "lote", order=[F.asc("ordem")], rows=_UP_TO)
     # A group without similar groups is settled by its own earlier rows alone.
     alone = (F.col("_n_antes") == 0) | F.coalesce(
         ~F.col("_inicio_sem_data") & (F.col("_antes").isNull() | (F.col("pub") < F.col("_antes"))),
@@ -166,7 +166,7 @@ def dropped_rows(df: DataFrame, threshold: float = 0.75, batch: str = "data_cole
     """(batch, order) of the removed rows."""
     r = _resolve(df, threshold, batch, order, date_mode, block, slice_rows)
     return (r.members.select("lote", "grupo", "ordem")
-            .join(r.survivors, ["lote", "grupo", "ordem"], "left_anti")
+            .join(r.survivors, ["grupo", "lote", "ordem"], "left_anti")
             .select(F.col("lote").alias(batch), F.col("ordem").alias(order)))
 
 
@@ -178,7 +178,7 @@ def dedup_news(df: DataFrame, threshold: float = 0.75, batch: str = "data_coleta
     ``order`` is the arrival order, unique in a batch.
     """
     gone = cut_lineage(dropped_rows(df, threshold, batch, order, date_mode, block, slice_rows))
-    return df.join(broadcast_if(gone, gone.count()), [batch, order], "left_anti")
+    return df.join(broadcast_if(gone, gone.count()), [order, batch], "left_anti")
 
 
 def dedup_audit(df: DataFrame, threshold: float = 0.75, batch: str = "data_coleta",
@@ -187,9 +187,9 @@ def dedup_audit(df: DataFrame, threshold: float = 0.75, batch: str = "data_colet
     """All rows with ``duplicata`` and ``duplicata_de`` (link of the row that removed it)."""
     r = _resolve(df, threshold, batch, order, date_mode, block, slice_rows)
     live = r.kept.filter("ativo")
-    gone = r.members.drop("ligado").join(r.survivors, ["lote", "grupo", "ordem"], "left_anti")
-    killed = gone.join(live.select("lote", "grupo", "ordem"), ["lote", "grupo", "ordem"], "left_anti")
-    outdated = gone.join(live.select("lote", "grupo", "ordem"), ["lote", "grupo", "ordem"], "left_semi")
+    gone = r.members.drop("ligado").join(r.survivors, ["grupo", "lote", "ordem"], "left_anti")
+    killed = gone.join(live.select("lote", "grupo", "ordem"), ["grupo", "lote", "ordem"], "left_anti")
+    outdated = gone.join(live.select("lote", "grupo", "ordem"), ["grupo", "lote", "ordem"], "left_semi")
     source = F.when(F.col("tipo") == 1, F.struct("ordem", "pub", "link"))
 
     # Active rows of one group are ever older, so the last one before the probe decides.
@@ -208,5 +208,5 @@ def dedup_audit(df: DataFrame, threshold: float = 0.75, batch: str = "data_colet
              .agg(F.max(F.struct("_por.ordem", "_por.link")).getField("link").alias("duplicata_de"))
              .select(F.col("lote").alias(batch), F.col("ordem").alias(order),
                      F.lit(True).alias("duplicata"), "duplicata_de"))
-    return (df.join(cut_lineage(found), [batch, order], "left")
+    return (df.join(cut_lineage(found), [order, batch], "left")
             .withColumn("duplicata", F.coalesce("duplicata", F.lit(False))))

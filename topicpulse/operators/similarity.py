@@ -42,9 +42,9 @@ def title_vectors(groups: DataFrame, sizes: DataFrame, batch: str, n_batches: in
     freq = (terms.groupBy(batch, "termo").agg(F.sum("copias").alias("df"))
             .join(broadcast_if(sizes, n_batches), batch)
             .select(batch, "termo", "df", smooth_idf(F.col("_n"), F.col("df")).alias("idf")))
-    raw = (terms.join(freq, [batch, "termo"])
+    raw = (terms.join(freq, ["termo", batch])
            .select(batch, "grupo", "termo", "df", (F.col("tf") * F.col("idf")).alias("w")))
-    order = Window.partitionBy(batch, "grupo").orderBy("df", "termo")
+    order = Window.partitionBy("grupo", batch).orderBy("df", "termo")
     every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     square = F.col("w") * F.col("w")
@@ -67,7 +67,7 @@ def _candidates(vectors: DataFrame, batch: str, threshold: float, block: int) ->
     hot = (prefix.groupBy(batch, "termo").agg(F.count(F.lit(1)).alias("_tam"))
            .filter(F.col("_tam") > block)
            .select(batch, "termo", F.ceil(F.col("_tam") / block).cast("int").alias("_k")))
-    placed = (prefix.join(hot, [batch, "termo"], "left")
+    placed = (prefix.join(hot, ["termo", batch], "left")
               .withColumn("_k", F.coalesce("_k", F.lit(1)))
               .withColumn("_b", F.pmod(F.xxhash64("grupo"), F.col("_k")).cast("int")))
     side = ["grupo", "peso", "resto", "_b"]
@@ -75,7 +75,7 @@ def _candidates(vectors: DataFrame, batch: str, threshold: float, block: int) ->
                          F.explode(F.sequence("_b", F.col("_k") - 1)).alias("_b_j"))
     right = placed.select(batch, "termo", *[F.col(c).alias(f"{c}_j") for c in side],
                           F.explode(F.sequence(F.lit(0), "_b")).alias("_b_i"))
-    pairs = left.join(right, [batch, "termo", "_b_i", "_b_j"]).filter(
+    pairs = left.join(right, ["termo", batch, "_b_i", "_b_j"]).filter(
         ((F.col("_b_i") < F.col("_b_j")) | (F.col("grupo_i") < F.col("grupo_j")))
         & (F.col("peso_i") * F.col("peso_j") + F.col("resto_i") * F.col("resto_j")
            >= threshold - GUARD))
@@ -97,8 +97,8 @@ def similar_groups(keyed: DataFrame, batch: str, threshold: float,
         return vectors.select(batch, F.col("grupo").alias(f"grupo_{i}"), "termo",
                               F.col("peso").alias(f"peso_{i}"))
 
-    dots = (pairs.join(role("i"), [batch, "grupo_i"])
-            .join(role("j"), [batch, "grupo_j", "termo"])
+    dots = (pairs.join(role("i"), ["grupo_i", batch])
+            .join(role("j"), ["grupo_j", "termo", batch])
             .groupBy(batch, "grupo_i", "grupo_j")
             .agg(F.round(F.sum(F.col("peso_i") * F.col("peso_j")), 9).alias("sim")))
     return dots.filter(F.col("sim") >= threshold)
@@ -118,7 +118,7 @@ def similar_titles(df: DataFrame, threshold: float, batch: str = "data_coleta",
         return first.select(batch, *[F.col(c).alias(f"{c}_{i}") for c in ("grupo", row, "copias")])
 
     pairs = similar_groups(keyed.drop(row), batch, threshold, block)
-    named = pairs.join(role("i"), [batch, "grupo_i"]).join(role("j"), [batch, "grupo_j"])
+    named = pairs.join(role("i"), ["grupo_i", batch]).join(role("j"), ["grupo_j", batch])
     swap = F.col(f"{row}_i") > F.col(f"{row}_j")
 
     def pick(c: str, i: str, j: str):

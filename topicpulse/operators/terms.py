@@ -70,17 +70,43 @@ def tfidf_of_lists(docs: DataFrame, doc: str, terms: Column, by: Sequence[str] =
     if not by:
         one = docs.withColumn("_lote", F.lit(0))
         return tfidf_of_lists(one, doc, terms, ["_lote"], min_corpus, max_features, 1).drop("_lote")
-    by = list(by)
     n_batches = batch_count(docs, by) if n_batches is None else n_batches
-    # One row per batch, and at most max_features rows per batch.
-    sizes = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_corpus)
-    vocab = (top_vocabulary(term_counts(docs, by, terms), by, max_features)
-             .join(broadcast_if(sizes, n_batches), by)
-             .select(*by, "termo", "_n", smooth_idf(F.col("_n"), F.col("df")).alias("_idf")))
-    weights = (docs.select(*by, doc, F.explode(terms).alias("termo"))
-               .join(broadcast_if(vocab, n_batches * max_features), [*by, "termo"])
+    sizes = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    vocab = _vocabulary(term_counts(docs, by, terms), sizes, by, min_corpus, max_features, n_batches)
+    weights = (docs.select(*by, doc, F.explode(terms).alias("termo")).join(vocab, ["termo", *by])
                .groupBy(*by, doc, "termo", "_n").agg(F.sum("_idf").alias("_w")))
-    # A document holds at most max_features distinct kept terms.
+    return _mean_weights(weights, doc, by)
+
+
+def tfidf_of_counts(counts: DataFrame, doc: str, by: Sequence[str], min_corpus: int = 5,
+                    max_features: int = 200, n_batches: int | None = None) -> DataFrame:
+    """The same from a long table: one row per (by, doc, termo) with its count ``tf``.
+
+    Only documents with at least one row count towards the batch size.
+    """
+    n_batches = batch_count(counts, by) if n_batches is None else n_batches
+    sizes = counts.select(*by, doc).distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    stats = counts.groupBy(*by, "termo").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+    vocab = _vocabulary(stats, sizes, by, min_corpus, max_features, n_batches)
+    weights = (counts.join(vocab.select(*by, "termo", "_n", "_idf"), ["termo", *by])
+               .select(*by, doc, "termo", "_n", (F.col("tf") * F.col("_idf")).alias("_w")))
+    return _mean_weights(weights, doc, by)
+
+
+def _vocabulary(stats: DataFrame, sizes: DataFrame, by: Sequence[str], min_corpus: int,
+                max_features: int, n_batches: int) -> DataFrame:
+    """Kept terms with the batch size and smoothed IDF.
+
+    At most one size row and ``max_features`` term rows per batch; broadcast within the limit.
+    """
+    sizes = broadcast_if(sizes.filter(F.col("_n") >= min_corpus), n_batches)
+    vocab = top_vocabulary(stats, by, max_features).join(sizes, list(by)).select(
+        *by, "termo", "_n", smooth_idf(F.col("_n"), F.col("df")).alias("_idf"))
+    return broadcast_if(vocab, n_batches * max_features)
+
+
+def _mean_weights(weights: DataFrame, doc: str, by: Sequence[str]) -> DataFrame:
+    """L2-normalise per document (at most ``max_features`` weights each), then average."""
     per_doc = weights.groupBy(*by, doc, "_n").agg(
         F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norma"),
         F.collect_list(F.struct("termo", "_w")).alias("_pesos"))

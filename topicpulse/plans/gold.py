@@ -18,7 +18,7 @@ def gold_topics(emerging: DataFrame, tfidf: DataFrame, sentiment: DataFrame,
 
     All three inputs are keyed by (data, termo), so the two joins share one partitioning.
     """
-    keys = ["data", "termo"]
+    keys = ["termo", "data"]
     joined = emerging.join(tfidf, keys, "left").join(sentiment, keys, "left")
     return (joined.withColumn("tfidf_score", F.coalesce("tfidf_score", F.lit(0.0)))
             .withColumn("tema", categorize(F.col("termo"), themes, theme_mode))

@@ -40,7 +40,10 @@ def append_new(batch: DataFrame, path: str, days: list[str]) -> None:
 
 def affected_days(spark: SparkSession, path: str, touched: list[str], window_days: int) -> list[str]:
     """The touched dates and the later ones whose baseline window contains one of them."""
-    stored = read_or_empty(spark, path, BRONZE).select("data_coleta").distinct().collect()
+    day = F.col("data_coleta")
+    stored = (read_or_empty(spark, path, BRONZE)
+              .filter(day.between(min(touched), shift_day(max(touched), window_days)))
+              .select(day).distinct().collect())
     later = {r["data_coleta"] for r in stored
              if any(day < r["data_coleta"] <= shift_day(day, window_days) for day in touched)}
     return sorted(later | set(touched))
