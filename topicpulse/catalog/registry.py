@@ -14,7 +14,7 @@ from topicpulse.catalog.setup import (
 from topicpulse.functions import dates, labels, text, themes
 from topicpulse.operators import clean, dedup, sentiment, similarity, term_sentiment, terms, trends
 from topicpulse.plans import daily, gold, products
-from topicpulse.runtime import scratch_path
+from topicpulse.runtime import cut_lineage, scratch_path
 from topicpulse.sources import feeds, tables, views
 from topicpulse.streaming import incremental
 
@@ -128,16 +128,17 @@ def model_sentiment(spark, sf):
 
 def term_sentiment_query(spark, sf):
     scored = _scored(spark, sf)
-    return rounded(term_sentiment.term_sentiment(scored, _doc_terms(scored)))
+    freq = cut_lineage(_doc_terms(scored))
+    return rounded(term_sentiment.term_sentiment(scored, freq, n_terms=freq.count()))
 
 
 def document_gold(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Both gold tables of all days from the documents: the whole pipeline in one plan."""
     silver = _silver(spark, sf)
-    freq = terms.document_frequency(silver, ["data"])
+    freq = cut_lineage(terms.document_frequency(silver, ["data"]))
     emerging = trends.emergence_backfill(freq, CONFIG.history_days, CONFIG.z_threshold)
     weights = terms.tfidf(silver, "ordem", by=["data"], n_batches=views.BATCH_DAYS)
-    sent = term_sentiment.term_sentiment(silver, freq)
+    sent = term_sentiment.term_sentiment(silver, freq, n_terms=freq.count())
     return (gold.gold_topics(emerging, weights, sent, CONFIG.themes),
             gold.gold_themes(silver, CONFIG.themes))
 

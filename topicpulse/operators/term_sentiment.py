@@ -15,7 +15,7 @@ UNKNOWN_SOURCE = "desconhecida"
 
 def term_sentiment(articles: DataFrame, terms: DataFrame, doc: str = "ordem",
                    by: Sequence[str] = ("data",), text: str = "texto_completo",
-                   letters_only: bool = True) -> DataFrame:
+                   letters_only: bool = True, n_terms: int | None = None) -> DataFrame:
     """Mean signed score, most frequent label and sorted source list per term.
 
     An article counts once per term it contains. Terms that occur nowhere give no row.
@@ -24,8 +24,11 @@ def term_sentiment(articles: DataFrame, terms: DataFrame, doc: str = "ordem",
         articles = articles.withColumn("fonte", F.lit(UNKNOWN_SOURCE))
     slim = articles.select(*by, doc, text, "sentimento_label", "sentimento_score", "fonte")
     carried = [doc, "sentimento_label", "sentimento_score", "fonte"]
-    match = term_matches if letters_only else any_term_matches
-    return summarize_matches(match(slim, terms, carried, by, text), by)
+    if letters_only:
+        matches = term_matches(slim, terms, carried, by, text, n_terms=n_terms)
+    else:
+        matches = any_term_matches(slim, terms, carried, by, text)
+    return summarize_matches(matches, by)
 
 
 def summarize_matches(matches: DataFrame, by: Sequence[str] = ("data",)) -> DataFrame:

@@ -17,6 +17,7 @@ from topicpulse.operators.term_sentiment import term_sentiment
 from topicpulse.operators.terms import document_frequency, tfidf
 from topicpulse.operators.trends import emergence_backfill
 from topicpulse.plans.gold import gold_themes, gold_topics
+from topicpulse.runtime import cut_lineage
 from topicpulse.schemas import BRONZE, SILVER
 from topicpulse.sources.tables import (
     read_gold_topics, read_or_empty, upsert_gold, validate_non_empty, write_stage,
@@ -53,9 +54,8 @@ def build_silver(bronze: DataFrame, config: Config, scorer: Scorer) -> DataFrame
     return news_tokens(compute_sentiment(unique, scorer), config).select(*SILVER.names)
 
 
-def term_history(silver: DataFrame, gold: DataFrame, days: list[str], config: Config) -> DataFrame:
+def term_history(today: DataFrame, gold: DataFrame, days: list[str], config: Config) -> DataFrame:
     """Score the terms of ``days`` against gold history plus the days computed now."""
-    today = document_frequency(silver, ["data"])
     past = gold.filter((F.col("data") >= shift_day(min(days), -config.history_days))
                        & (F.col("data") < max(days)) & ~F.col("data").isin(days))
     known = today.unionByName(past.select("data", "termo", "frequencia"))
@@ -78,10 +78,12 @@ def run_days(spark: SparkSession, base: str, days: Iterable[str], config: Config
     silver = (read_or_empty(spark, at.silver, SILVER).filter(F.col("data_coleta").isin(days))
               .withColumn("data", F.col("data_coleta")))
 
-    emerging = term_history(silver, read_gold_topics(spark, at.topics), days, config)
+    # The term table is small next to the texts; stored once, its size is known.
+    freq = cut_lineage(document_frequency(silver, ["data"]))
+    emerging = term_history(freq, read_gold_topics(spark, at.topics), days, config)
     weights = tfidf(silver, "ordem", by=["data"], min_corpus=config.min_corpus,
                     max_features=config.max_features, n_batches=len(days))
-    sentiment = term_sentiment(silver, document_frequency(silver, ["data"]))
+    sentiment = term_sentiment(silver, freq, n_terms=freq.count())
     topics = upsert_gold(gold_topics(emerging, weights, sentiment, config.themes), at.topics, days)
     themes = upsert_gold(gold_themes(silver, config.themes), at.themes, days)
 
