@@ -67,9 +67,6 @@ def tfidf_of_lists(docs: DataFrame, doc: str, terms: Column, by: Sequence[str] =
                    min_corpus: int = 5, max_features: int = 200,
                    n_batches: int | None = None) -> DataFrame:
     """The same for documents whose terms are given as an array column."""
-    if not by:
-        one = docs.withColumn("_lote", F.lit(0))
-        return tfidf_of_lists(one, doc, terms, ["_lote"], min_corpus, max_features, 1).drop("_lote")
     n_batches = batch_count(docs, by) if n_batches is None else n_batches
     sizes = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     vocab = _vocabulary(term_counts(docs, by, terms), sizes, by, min_corpus, max_features, n_batches)
@@ -99,8 +96,12 @@ def _vocabulary(stats: DataFrame, sizes: DataFrame, by: Sequence[str], min_corpu
 
     At most one size row and ``max_features`` term rows per batch; broadcast within the limit.
     """
-    sizes = broadcast_if(sizes.filter(F.col("_n") >= min_corpus), n_batches)
-    vocab = top_vocabulary(stats, by, max_features).join(sizes, list(by)).select(
+    top = top_vocabulary(stats, by, max_features)
+    if by:
+        sized = top.join(broadcast_if(sizes, n_batches), list(by))
+    else:
+        sized = top.withColumn("_n", sizes.scalar())
+    vocab = sized.filter(F.col("_n") >= min_corpus).select(
         *by, "termo", "_n", smooth_idf(F.col("_n"), F.col("df")).alias("_idf"))
     return broadcast_if(vocab, n_batches * max_features)
 
