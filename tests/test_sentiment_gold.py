@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from topicpulse.config import THEME_KEYWORDS
 from topicpulse.operators.containment import any_term_matches, term_matches
-from topicpulse.operators.sentiment import compute_sentiment, lexicon_scorer, model_scorer, prediction_scorer
+from topicpulse.operators.sentiment import (
+    compute_sentiment, lexicon_scorer, lexicon_table_scorer, model_scorer, prediction_scorer,
+)
 from topicpulse.operators.term_sentiment import term_sentiment
 from topicpulse.plans.gold import gold_themes, gold_topics
 from topicpulse.schemas import GOLD_THEMES, GOLD_TOPICS
@@ -32,6 +34,8 @@ def test_lexicon_and_prediction_scorers(spark):
                                "id long, texto_completo string")
     out = lexicon_scorer(["bom"], ["ruim"])(df)
     assert [r[2:] for r in sorted(rows(out))] == [("POS", 2 / 3), ("NEG", 1.0), ("NEU", 0.5), ("NEU", 1.0)]
+    words = spark.createDataFrame([("bom", 1), ("ruim", -1)], "palavra string, polaridade int")
+    assert sorted(rows(lexicon_table_scorer(words, "id")(df))) == sorted(rows(out))
     table = spark.createDataFrame([(0, "NEG", 0.7)], "id long, sentimento_label string, sentimento_score double")
     out = prediction_scorer(table, "id")(df).select("id", "sentimento_label", "sentimento_score")
     assert sorted(rows(out))[:2] == [(0, "NEG", 0.7), (1, "NEU", 0.6)]

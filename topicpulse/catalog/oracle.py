@@ -2,6 +2,8 @@
 
 Similarity is brute force over all row pairs, containment is a plain ``contains`` join (cleaned texts are lower case) and the
 greedy deduplication is a recursive query, so the SQL shares no shortcut with the Spark code.
+Doubles are rounded to 12 places before 6: sums differ in the last bits between engines, which
+would otherwise show where a mean ends exactly on a 5.
 """
 
 from __future__ import annotations
@@ -261,12 +263,12 @@ pontuadas AS (
   FROM acertos)""".replace("HITS_P", _hits(POSITIVE_WORDS)).replace("HITS_N", _hits(NEGATIVE_WORDS))
     + _frequency("unicas"))
 
-_G1_COLUMNS = ("data, termo, frequencia, round(tfidf_score, 6) AS tfidf_score, round(z_score, 6) AS z_score, "
-               "emergente, tema, round(sentimento_medio_termo, 6) AS sentimento_medio_termo, "
+_G1_COLUMNS = ("data, termo, frequencia, round(round(tfidf_score, 12), 6) AS tfidf_score, round(round(z_score, 12), 6) AS z_score, "
+               "emergente, tema, round(round(sentimento_medio_termo, 12), 6) AS sentimento_medio_termo, "
                "sentimento_predominante_termo, fontes")
-_G2_COLUMNS = ("tema_noticia, round(sentimento_medio, 6) AS sentimento_medio, qtd_noticias, data, tema, "
-               "round(pct_positivo, 6) AS pct_positivo, round(pct_negativo, 6) AS pct_negativo, "
-               "round(pct_neutro, 6) AS pct_neutro")
+_G2_COLUMNS = ("tema_noticia, round(round(sentimento_medio, 12), 6) AS sentimento_medio, qtd_noticias, data, tema, "
+               "round(round(pct_positivo, 12), 6) AS pct_positivo, round(round(pct_negativo, 12), 6) AS pct_negativo, "
+               "round(round(pct_neutro, 12), 6) AS pct_neutro")
 
 
 def _list(values) -> str:
@@ -283,7 +285,7 @@ def _kpis(source: str) -> str:
 SELECT *, CASE WHEN sentimento_medio > 0.1 THEN 'positivo' WHEN sentimento_medio < -0.1 THEN 'negativo'
                ELSE 'neutro' END AS humor
 FROM (SELECT count(*) AS linhas_no_periodo,
-             round(avg(sentimento_medio_termo) FILTER (data = (SELECT max(data) FROM {source})), 6) AS sentimento_medio,
+             round(round(avg(sentimento_medio_termo) FILTER (data = (SELECT max(data) FROM {source})), 12), 6) AS sentimento_medio,
              count(*) FILTER (emergente AND data = (SELECT max(data) FROM {source})) AS topicos_emergentes,
              count(DISTINCT tema) AS temas_ativos,
              count(*) FILTER (data = (SELECT max(data) FROM {source})) AS termos_hoje,
@@ -314,14 +316,14 @@ SELECT ordem, CAST(len(ts) AS INTEGER) AS n_tokens, array_to_string(ts, ' ') AS
 FROM (SELECT ordem, {_tokens('texto_completo')} AS ts FROM limpas)""",
     "document_frequency": _WITH_NEWS + _frequency("limpas") + " SELECT data, termo, frequencia FROM freq",
     "tfidf": _WITH_NEWS + _doc_tfidf("limpas")
-        + " SELECT lote AS data, termo, round(tfidf_score, 6) AS tfidf_score FROM tfidf",
+        + " SELECT lote AS data, termo, round(round(tfidf_score, 12), 6) AS tfidf_score FROM tfidf",
     "tfidf_corpus": _WITH_NEWS + _doc_tfidf("limpas", "0")
-        + " SELECT termo, round(tfidf_score, 6) AS tfidf_score FROM tfidf",
+        + " SELECT termo, round(round(tfidf_score, 12), 6) AS tfidf_score FROM tfidf",
     "similar_titles": _WITH_NEWS + _pairs("limpas") + """,
 grupos AS (SELECT lote, min(ordem) AS ordem, count(*) AS copias FROM titulos WHERE len(ts) > 0
            GROUP BY lote, list_sort(ts))
 SELECT p.lote AS data_coleta, p.i AS ordem_i, p.j AS ordem_j, a.copias AS copias_i, b.copias AS copias_j,
-       round(p.sim, 6) AS sim
+       round(round(p.sim, 12), 6) AS sim
 FROM pares p JOIN grupos a ON a.lote = p.lote AND a.ordem = p.i JOIN grupos b ON b.lote = p.lote AND b.ordem = p.j""",
     "dedup_news": _DEDUPED + " SELECT data_coleta, ordem, link, titulo, data_publicacao FROM unicas",
     "dedup_audit": _DEDUPED + """
@@ -344,7 +346,7 @@ FROM (SELECT ordem, length(texto_completo) - length(replace(texto_completo, '.',
              length(texto_completo) - length(replace(texto_completo, ',', '')) AS c FROM limpas)""",
     "term_sentiment": _WITH_NEWS + _PREDICTIONS + _scored("limpas") + _frequency("limpas")
         + _matches("pontuadas", "freq") + _by_term("achados") + """
-SELECT data, termo, round(sentimento_medio_termo, 6) AS sentimento_medio_termo,
+SELECT data, termo, round(round(sentimento_medio_termo, 12), 6) AS sentimento_medio_termo,
        sentimento_predominante_termo, fontes FROM por_termo""",
     "gold_topics": _SILVER + _frequency("unicas") + _doc_tfidf("unicas") + _emergence("freq")
         + _matches("pontuadas", "freq") + _by_term("achados") + _gold1(DOCUMENT_THEMES)
@@ -371,7 +373,7 @@ SELECT {_G1_COLUMNS} FROM g1 WHERE data NOT IN ('{RERUN_DAY}', '{EMPTIED_DAY}')
 UNION ALL SELECT {_G1_COLUMNS} FROM (SELECT * REPLACE (frequencia * 10 AS frequencia) FROM g1
                                      WHERE data = '{RERUN_DAY}' AND frequencia > 1)""",
     "baseline": "WITH" + _EVENTS + f"""
-SELECT termo, round(avg(frequencia), 6) AS media_frequencia, round(stddev_samp(frequencia), 6) AS std_frequencia
+SELECT termo, round(round(avg(frequencia), 12), 6) AS media_frequencia, round(round(stddev_samp(frequencia), 12), 6) AS std_frequencia
 FROM dias WHERE CAST(data AS DATE) >= DATE '{RUN_DAY}' - {CONFIG.history_days} AND CAST(data AS DATE) < DATE '{RUN_DAY}'
 GROUP BY termo""",
     "emerging_terms": "WITH" + _EVENTS + f""",
@@ -383,14 +385,14 @@ SELECT termo, data, frequencia,
        CASE WHEN m IS NOT NULL THEN coalesce((frequencia - m) / (s + 1e-6) >= {CONFIG.z_threshold}, false) END AS emergente
 FROM dias LEFT JOIN base USING (termo) WHERE data = '{RUN_DAY}'""",
     "emergence_backfill": "WITH" + _EVENTS + _emergence("dias")
-        + " SELECT data, termo, frequencia, round(z_score, 6) AS z_score, emergente FROM emergencia",
+        + " SELECT data, termo, frequencia, round(round(z_score, 12), 6) AS z_score, emergente FROM emergencia",
     "term_mode_label": "WITH" + _EVENTS + _by_term("eventos")
         + " SELECT data, termo, sentimento_predominante_termo FROM por_termo",
     "term_sources": "WITH" + _EVENTS + _by_term("eventos") + " SELECT data, termo, fontes FROM por_termo",
     "kpis": _EV + _kpis("g1"),
     "filtered_topics": _EV + f"SELECT {_G1_COLUMNS} FROM g1 WHERE {_FILTER}",
     "filtered_kpis": "WITH" + _EVENT_GOLD + f", gf AS (SELECT * FROM g1 WHERE {_FILTER})" + _kpis("gf"),
-    "sentiment_over_time": _EV + "SELECT data, tema, round(sentimento_medio, 6) AS sentimento_medio FROM g2",
+    "sentiment_over_time": _EV + "SELECT data, tema, round(round(sentimento_medio, 12), 6) AS sentimento_medio FROM g2",
     "sentiment_distribution": _EV + """
 SELECT sentimento_predominante_termo,
        CASE sentimento_predominante_termo WHEN 'POS' THEN 'Positivo' WHEN 'NEG' THEN 'Negativo'
@@ -398,16 +400,16 @@ SELECT sentimento_predominante_termo,
        count(*) AS termos, round(count(*) / (SELECT count(*) FROM hoje), 6) AS parcela
 FROM hoje GROUP BY 1""",
     "top_by_frequency": _EV + _ranked("frequencia", "frequencia"),
-    "top_by_tfidf": _EV + _ranked("tfidf_score", "round(tfidf_score, 6)"),
+    "top_by_tfidf": _EV + _ranked("tfidf_score", "round(round(tfidf_score, 12), 6)"),
     "top_emerging": _EV + f"""
-SELECT data, termo, tema, frequencia, round(z_score, 6) AS z_score FROM {_top('z_score', 5, 'emergente')}""",
+SELECT data, termo, tema, frequencia, round(round(z_score, 12), 6) AS z_score FROM {_top('z_score', 5, 'emergente')}""",
     "emerging_evolution": _EV + """
 SELECT data, count(termo) AS termos, count(*) FILTER (emergente) AS emergentes FROM g1 GROUP BY data""",
     "theme_distribution": _EV + """
 SELECT tema, count(termo) AS termos, CAST(sum(frequencia) AS BIGINT) AS frequencia_total FROM hoje GROUP BY tema""",
     "source_distribution": _EV + "SELECT fonte, count(*) AS contagem FROM itens GROUP BY fonte",
     "frequency_vs_z": _EV + """
-SELECT termo, tema, frequencia, round(z_score, 6) AS z_score, frequencia * 3 AS tamanho,
+SELECT termo, tema, frequencia, round(round(z_score, 12), 6) AS z_score, frequencia * 3 AS tamanho,
        coalesce(frequencia >= 5 AND z_score >= 2, false) AS quadrante_quente FROM hoje""",
     "theme_sentiment_shares": _EV + " UNION ALL ".join([
         _clean_shares("Positivo", "pct_positivo"), _clean_shares("Negativo", "pct_negativo"),
@@ -442,11 +444,11 @@ UNION ALL SELECT 'sentimento_pct', sentimento_predominante_termo,
                  round(count(*) / (SELECT count(*) FROM hoje) * 100, 6) FROM hoje GROUP BY 2
 UNION ALL (SELECT 'tema_dominante', tema, round(sum(frequencia) / (SELECT sum(frequencia) FROM hoje) * 100, 6)
            FROM hoje GROUP BY tema ORDER BY sum(frequencia) DESC, tema LIMIT 1)
-UNION ALL (SELECT 'mais_positivo', tema, round(sentimento_medio, 6) FROM hoje2 ORDER BY sentimento_medio DESC, tema LIMIT 1)
-UNION ALL (SELECT 'mais_negativo', tema, round(sentimento_medio, 6) FROM hoje2 ORDER BY sentimento_medio, tema LIMIT 1)
+UNION ALL (SELECT 'mais_positivo', tema, round(round(sentimento_medio, 12), 6) FROM hoje2 ORDER BY sentimento_medio DESC, tema LIMIT 1)
+UNION ALL (SELECT 'mais_negativo', tema, round(round(sentimento_medio, 12), 6) FROM hoje2 ORDER BY sentimento_medio, tema LIMIT 1)
 UNION ALL SELECT 'emergentes', 'emergentes', CAST(count(*) AS DOUBLE) FROM hoje WHERE emergente HAVING count(*) > 0
 UNION ALL SELECT 'emergentes', 'termos', CAST(count(*) AS DOUBLE) FROM hoje HAVING bool_or(emergente)
-UNION ALL SELECT 'emergente_top', termo, round(z_score, 6) FROM {_top('z_score', 3, 'emergente')}
+UNION ALL SELECT 'emergente_top', termo, round(round(z_score, 12), 6) FROM {_top('z_score', 3, 'emergente')}
 UNION ALL SELECT 'volume', 'hoje', CAST(n AS DOUBLE) FROM par WHERE d0 IS NOT NULL
 UNION ALL SELECT 'volume', 'ontem', CAST(n0 AS DOUBLE) FROM par WHERE d0 IS NOT NULL
 UNION ALL SELECT 'volume', CASE WHEN n > n0 THEN 'sobe' WHEN n < n0 THEN 'desce' ELSE 'igual' END,

@@ -22,8 +22,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round all doubles, so summation order does not show."""
-    return df.select(*[F.round(f.name, places).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+    """Round all doubles, so summation order does not show.
+
+    The first rounding removes the noise of sums, which could tip a tie of the second.
+    """
+    return df.select(*[F.round(F.round(f.name, 12), places).alias(f.name) if isinstance(f.dataType, T.DoubleType)
                        else F.col(f.name) for f in df.schema.fields])
 
 
