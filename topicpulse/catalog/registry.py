@@ -53,7 +53,7 @@ def _doc_terms(df: DataFrame) -> DataFrame:
 
 
 def strip_html(spark, sf):
-    pages = views.read_table(spark, sf, "pages", spread_by="page_id")
+    pages = views.spread(views.read_table(spark, sf, "pages"), "page_id")
     return pages.select("page_id", text.strip_html(F.col("html")).alias("texto"))
 
 

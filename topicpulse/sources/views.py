@@ -12,34 +12,34 @@ PUBLICATION_STEP, PUBLICATION_DAYS, UNDATED_EVERY = 37, 23, 11
 LABEL_SCORES = {"POS": 0.9, "NEG": 0.8, "NEU": 0.6}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """One provided table.
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    A table of fewer files than cores is spread over them by ``spread_by``, since text work is
-    bound by CPU; tables with enough files keep their own splits and are not shuffled.
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table of fewer files than cores by ``key``, since text work is bound by CPU.
+
+    Tables with enough files keep their own splits and are not shuffled.
     """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and len(df.inputFiles()) < cores:
-        df = df.repartition(cores, spread_by)
-    return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as news: first line is the title, the rest the summary."""
-    d = read_table(spark, sf_dir, "documents", spread_by="doc_id")
+    d = read_table(spark, sf_dir, "documents")
     day = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"),
                                    (F.col("doc_id") % BATCH_DAYS).cast("int")), "yyyy-MM-dd")
     published = F.date_format(
         F.date_add(F.lit(FIRST_DAY).cast("date"),
                    ((F.col("doc_id") * PUBLICATION_STEP) % PUBLICATION_DAYS).cast("int")), "yyyy-MM-dd")
     title = F.substring_index("text", "\n", 1)
-    return d.select(
+    return spread(d.select(
         title.alias("titulo"),
         F.col("text").substr(F.length(title) + 2, F.length("text")).alias("resumo"),
         F.when(F.col("doc_id") % UNDATED_EVERY == 0, "").otherwise(published).alias("data_publicacao"),
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("link"),
-        F.col("source").alias("fonte"), day.alias("data_coleta"), F.col("doc_id").alias("ordem"))
+        F.col("source").alias("fonte"), day.alias("data_coleta"), F.col("doc_id").alias("ordem")), "ordem")
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
