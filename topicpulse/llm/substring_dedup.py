@@ -1,17 +1,19 @@
 """Repeated passages: MinHash banding over paragraphs, exact verification, removal by components.
 
-A paragraph is a line of ``MIN_WORDS`` words or more, and also every content-defined stretch of
-such a line: a line is cut before words whose 5-word shingle hash is a local minimum among
-``REACH`` neighbours on both sides, so a passage inside different lines is cut alike apart from its ends.
-Only stretches of ``MIN_STRETCH`` words or more count. Shingles have five lower-cased words.
-
-Bands: ``BANDS`` bands of ``ROWS`` MinHash values each find a pair of Jaccard similarity 0.8 with
-probability 1 - (1 - 0.8^3)^8 > 0.996; equal paragraphs are one node and always meet. Colliding
+A paragraph is a line of ``MIN_WORDS`` words or more. Shingles have five lower-cased words.
+``BANDS`` bands of ``ROWS`` MinHash values each find a pair of Jaccard similarity 0.8 with
+probability 1 - (1 - 0.8^2)^5 > 0.993; equal paragraphs are one node and always meet. Colliding
 paragraphs are verified on their whole shingle sets (Jaccard >= ``SIMILARITY``), and within a
 component the occurrence with the smallest (doc_id, text hash, place) stays; all others are removed.
 
-Null and empty texts have no paragraphs. Rows repeated under one doc_id with one text are one
-document and share their removals; rows without doc_id come first in order.
+A passage may also lie inside different lines. So every line of ``LONG_WORDS`` words or more is also cut before words
+whose 5-word shingle hash is the least among ``REACH`` neighbours on both sides, which cuts a
+passage alike wherever it stands, apart from its ends. Stretches between cuts of ``MIN_STRETCH`` words or
+more are removed when the same stretch occurred earlier; only equal stretches are one node.
+
+Nodes are 64-bit hashes of the words. Null and empty texts have no paragraphs. Rows repeated under
+one doc_id with one text are one document and share their removals; rows without doc_id come first
+in order. What is left of a cut line is joined by single blanks; a line without words left goes.
 """
 
 from __future__ import annotations
@@ -26,10 +28,11 @@ from topicpulse.llm.common import Forest, cells, components, release, stored
 
 SHINGLE = 5
 MIN_WORDS = 25
+LONG_WORDS = 50
 MIN_STRETCH = 16
 REACH = 10
 SIMILARITY = 0.8
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 5, 2
 BATCH_CHARS = 1 << 20
 CELL_ROWS = 1024
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -60,37 +63,50 @@ def rolled(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def stretches(sh: np.ndarray) -> np.ndarray:
-    """Starts of the content-defined stretches of one line, the first word's included."""
-    n = len(sh)
-    if n < 2 * REACH + 1:
-        return np.zeros(1, np.int64)
-    low = np.lib.stride_tricks.sliding_window_view(sh, 2 * REACH + 1).min(axis=1)
-    cut = np.flatnonzero(sh[REACH:n - REACH] == low) + REACH
-    return np.concatenate([[0], cut])
-
-
 class Paragraphs:
-    """Spans of one text: (line, first word, end word), in order, with their words' hashes."""
-
-    def __init__(self, text: str, memo: dict):
-        self.spans, self.hashes = [], []
-        for at, line in enumerate(text.split("\n")):
-            words = line.encode("utf-8", "surrogatepass").lower().split()
-            if len(words) < MIN_WORDS:
-                continue
-            h = word_hashes(words, memo)
-            sh = rolled(h)
-            cuts = [*stretches(sh).tolist(), len(words)]
-            parts = [(a, b) for a, b in zip(cuts, cuts[1:]) if b - a >= MIN_STRETCH]
-            for a, b in dict.fromkeys([(0, len(words)), *parts]):
-                self.spans.append((at, a, b))
-                self.hashes.append((h[a:b], sh[a:b - SHINGLE + 1]))
+    """Paragraphs and stretches of some texts, all words in one array.
 
+    ``spans``: (text, line, first word, end word, place of the first word in ``words``, is a whole line).
+    """
 
-def _identity(h: np.ndarray) -> tuple[int, int]:
-    raw = h.tobytes()
-    return xxhash.xxh64_intdigest(raw, 1) - (1 << 63), xxhash.xxh64_intdigest(raw, 2) - (1 << 63)
+    def __init__(self, texts: list[str], memo: dict):
+        words: list[bytes] = []
+        lines = []
+        for k, text in enumerate(texts):
+            for at, line in enumerate(text.split("\n") if text else ()):
+                own = line.encode("utf-8", "surrogatepass").lower().split()
+                if len(own) >= MIN_WORDS:
+                    lines.append((k, at, len(words), len(own)))
+                    words += own
+        self.words = word_hashes(words, memo)
+        self.shingles = sh = rolled(self.words)
+        self.spans = []
+        if not lines:
+            return
+        cut = np.zeros(len(sh), bool)
+        if len(sh) > 2 * REACH:
+            low = np.lib.stride_tricks.sliding_window_view(sh, 2 * REACH + 1).min(axis=1)
+            cut[REACH:len(sh) - REACH] = sh[REACH:len(sh) - REACH] == low
+        at_cut = np.flatnonzero(cut)
+        start = np.array([x[2] for x in lines])
+        size = np.array([x[3] for x in lines])
+        # a cut counts if all its neighbours belong to the line
+        lo = np.searchsorted(at_cut, start + REACH)
+        hi = np.searchsorted(at_cut, start + size - (SHINGLE - 1) - REACH)
+        for (k, at, a, n), i, j in zip(lines, lo.tolist(), hi.tolist()):
+            self.spans.append((k, at, 0, n, a, True))
+            if n >= LONG_WORDS and j > i:
+                edge = [0, *(at_cut[i:j] - a).tolist(), n]
+                self.spans += [(k, at, x, y, a + x, False) for x, y in zip(edge, edge[1:]) if y - x >= MIN_STRETCH]
+
+    def nodes(self) -> list[int]:
+        raw = memoryview(self.words.view(np.uint8))
+        digest = xxhash.xxh64_intdigest
+        return [digest(raw[8 * a:8 * (a + y - x)], int(whole)) - (1 << 63) for _, _, x, y, a, whole in self.spans]
+
+    def set_of(self, span) -> np.ndarray:
+        _, _, x, y, a, _ = span
+        return self.shingles[a:a + y - x - SHINGLE + 1]
 
 
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
@@ -105,45 +121,51 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys.T
 
 
-FOUND = "doc_id long, th long, line int, first int, last int, node long, guard long, keys array<long>"
+FOUND = "doc_id long, th long, line int, first int, last int, node long, keys array<long>"
+
+
+def _groups(texts: list[str]):
+    """Consecutive texts of about ``BATCH_CHARS`` together: (first, end)."""
+    first, weight = 0, 0
+    for k, t in enumerate(texts):
+        weight += len(t or "")
+        if weight > BATCH_CHARS or k == len(texts) - 1:
+            yield first, k + 1
+            first, weight = k + 1, 0
 
 
 def _find(batches):
     memo: dict = {}
     for b in batches:
         ids, ths, texts = (b.column(i).to_pylist() for i in range(3))
-        rows, sets, weight = [], [], 0
-        for k, (i, th, t) in enumerate(zip(ids, ths, texts)):
-            if t:
-                p = Paragraphs(t, memo)
-                for span, (h, sh) in zip(p.spans, p.hashes):
-                    rows.append((i, th, *span, *_identity(h)))
-                    sets.append(sh)
-                weight += len(t)
-            if rows and (weight > BATCH_CHARS or k == len(ids) - 1):
-                cols = list(zip(*rows))
-                keys = band_keys(sets).view(np.int64)
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.reshape(-1)))
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c, y) for c, y in zip(cols, types)], lists],
-                    ["doc_id", "th", "line", "first", "last", "node", "guard", "keys"])
-                rows, sets, weight = [], [], 0
+        for i, j in _groups(texts):
+            p = Paragraphs(texts[i:j], memo)
+            if not p.spans:
+                continue
+            whole = [s for s in p.spans if s[5]]
+            keys = band_keys([p.set_of(s) for s in whole]).view(np.int64)
+            ends = np.cumsum([0] + [BANDS if s[5] else 0 for s in p.spans])  # stretches have no keys
+            cols = [[ids[i + s[0]] for s in p.spans], [ths[i + s[0]] for s in p.spans], *zip(*(s[1:4] for s in p.spans))]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(c, y) for c, y in zip(cols, types)], pa.array(p.nodes(), pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.reshape(-1)))],
+                ["doc_id", "th", "line", "first", "last", "node", "keys"])
 
 
 def _wanted(batches):
-    """(node, shingles) of the asked paragraphs; columns t, asked list of (line, first, last, node)."""
+    """(node, shingles) of the asked lines; columns t, asked list of (line, node)."""
     memo: dict = {}
     for b in batches:
+        texts, asked = b.column(0).to_pylist(), b.column(1).to_pylist()
         nodes, blobs = [], []
-        for t, asked in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            want = {(x["line"], x["first"], x["last"]): x["node"] for x in asked}
-            p = Paragraphs(t, memo)
-            for span, (_, sh) in zip(p.spans, p.hashes):
-                if span in want:
-                    nodes.append(want[span])
-                    blobs.append(np.unique(sh).tobytes())
+        for i, j in _groups(texts):
+            want = {(k, x["line"]): x["node"] for k in range(i, j) for x in asked[k]}
+            p = Paragraphs(texts[i:j], memo)
+            for s in p.spans:
+                if s[5] and (node := want.get((i + s[0], s[1]))) is not None:
+                    nodes.append(node)
+                    blobs.append(np.unique(p.set_of(s)).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())],
                                          ["node", "shingles"])
 
@@ -182,40 +204,47 @@ def _similar(batches):
     yield batch(links(nodes, sets))
 
 
-def occurrences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every paragraph with its place, node, and the node's component."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
-    found = stored(rows.mapInArrow(_find, FOUND), "paragraphs")
-    place = F.struct("doc_id", "th", "line", "first", "last")
-    nodes = found.groupBy("node").agg(F.min(place).alias("at"), F.first("keys").alias("keys"))
-    banded = nodes.select("node", F.explode("keys").alias("key"))
+PLACE = ["doc_id", "th", "line", "first", "last"]
+
+
+def line_links(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b): verified links between the nodes of whole lines that join all similar ones."""
+    lines = (found.where(F.size("keys") > 0).groupBy("node")
+             .agg(F.min(F.struct("doc_id", "th", "line")).alias("at"), F.first("keys").alias("keys")))
+    lines = stored(lines, "paragraph-nodes")
+    banded = lines.select("node", F.explode("keys").alias("key"))
     met = stored(cells(banded, "key", "node", CELL_ROWS).select("cell", "node"), "paragraph-cells")
-    asked = (nodes.join(met.select("node").distinct(), "node").select("at.*", "node")
-             .groupBy("doc_id", "th").agg(F.collect_list(F.struct("line", "first", "last", "node")).alias("asked")))
+    asked = (lines.join(met.select("node").distinct(), "node").select("at.*", "node")
+             .groupBy("doc_id", "th").agg(F.collect_list(F.struct("line", "node")).alias("asked")))
     asked = stored(asked.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), "paragraphs-asked")
+    release(rows.sparkSession)
     texts = (rows.join(asked, (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-             .select("t", "asked", "doc_id", "th").dropDuplicates(["doc_id", "th"]).select("t", "asked"))
+             .select("t", "asked"))
     sets = stored(texts.mapInArrow(_wanted, "node long, shingles binary"), "paragraph-shingles")
+    sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))  # repeated rows ask twice
     dealt = met.join(sets, "node").select("cell", "node", "shingles")
-    edges = stored(dealt.repartition("cell").sortWithinPartitions("cell")
-                   .mapInArrow(_similar, "a long, b long"), "paragraph-links")
-    release(docs.sparkSession)
-    group = components(edges, "a", "b")
-    return (found.drop("keys").join(group, "node", "left")
-            .withColumn("component", F.coalesce("component", "node")).drop("guard"))
+    return stored(dealt.repartition("cell").sortWithinPartitions("cell")
+                  .mapInArrow(_similar, "a long, b long"), "paragraph-links")
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Occurrences to remove: all but the first of each component, with the document of the first."""
-    every = stored(occurrences(docs, doc_id, text), "paragraph-occurrences")
-    place = F.struct("doc_id", "th", "line", "first", "last")
-    first = (every.groupBy("component").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").drop("n"))
-    return (every.join(first, "component")
-            .where(place > F.col("head"))
-            .where(~((F.col("doc_id").eqNullSafe(F.col("head.doc_id"))) & (F.col("th") == F.col("head.th"))
-                     & (F.col("line") == F.col("head.line")) & (F.col("first") < F.col("head.last"))))
-            .select("doc_id", "th", "line", "first", "last", "component", F.col("head.doc_id").alias("kept_in")))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
+    found = stored(rows.mapInArrow(_find, FOUND), "paragraphs")
+    edges = line_links(rows, found)
+    release(docs.sparkSession)
+    group = components(edges, "a", "b")
+    place = F.struct(*PLACE)
+    node = stored(found.groupBy("node").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("n"))
+                  .join(group.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
+                  .where("n > 1 or component is not null").select("node", "head", "component"), "paragraph-heads")
+    release(docs.sparkSession)
+    first = node.where("component is not null").groupBy("component").agg(F.min("head").alias("low"))
+    heads = node.join(first, "component", "left").select("node", F.coalesce("low", "head").alias("head"))
+    apart = ~((F.col("doc_id").eqNullSafe(F.col("head.doc_id"))) & (F.col("th") == F.col("head.th"))
+              & (F.col("line") == F.col("head.line")) & (F.col("first") < F.col("head.last")))
+    return (found.drop("keys").join(heads, "node").where((place > F.col("head")) & apart)
+            .select(*PLACE, "node", F.col("head.doc_id").alias("kept_in")))
 
 
 def _spans(items):
