@@ -6,13 +6,13 @@ _SHORT, _LONG = LIMITS["word_chars"]
 
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT r, list_filter(regexp_split_to_array(t, '[\x09-\x0D\x20]+'), x -> x <> '') AS w FROM d),
+w AS (SELECT r, [x FOR x IN regexp_split_to_array(t, '[\x09-\x0D\x20]+') IF x <> ''] AS w FROM d),
 p AS (SELECT r, unnest(generate_series(1, len(w) - {WINDOW - 1})) AS i FROM w WHERE len(w) >= {WINDOW}),
 g AS (SELECT p.r, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS g FROM p JOIN w USING (r)),
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
 rep AS (SELECT r, sum(least({WINDOW}, coalesce(nxt - i, {WINDOW})))::BIGINT AS n_repeat_words FROM (
           SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM twice) GROUP BY r),
-l AS (SELECT r, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x09-\x0D\x20]')) AS l FROM d),
+l AS (SELECT r, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x09-\x0D\x20]')] AS l FROM d),
 m AS (SELECT d.r, doc_id, t, w, l, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
              len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
              (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
@@ -25,7 +25,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR n_dup_lines > {LIMITS['lines']} * len(l)
             OR len(regexp_extract_all(t, '!')) > {LIMITS['exclamations']} * n_words
             OR len(regexp_extract_all(t, '\p{{Lu}}')) > {LIMITS['capitals']} * word_chars
-            OR len(list_filter(generate_series(2, len(w)), i -> w[i] = w[i - 1])) > {LIMITS['stutter']} * n_words) AS kept
+            OR len([i FOR i IN generate_series(2, len(w)) IF w[i] = w[i - 1]]) > {LIMITS['stutter']} * n_words) AS kept
 FROM b
 """
 
