@@ -141,3 +141,29 @@ def test_stream_recomputes_whole_dates(spark, tmp_path):
     tables.write_bronze(bronze, Layout(oneshot).bronze)
     run_days(spark, oneshot, [day1, day2], CONFIG, SCORER)
     assert gold(base) == gold(oneshot)
+
+
+def test_linkless_rows_stay_apart(spark):
+    """Two items without a link, one of them a copy of another source's: only the copy goes."""
+    from topicpulse.config import Config
+    from topicpulse.operators.sentiment import lexicon_scorer
+    from topicpulse.plans.daily import build_silver
+    from topicpulse.schemas import BRONZE
+
+    same = {"data_coleta": "2024-05-01", "resumo": "", "data_publicacao": "2024-05-01"}
+    items = [dict(same, fonte="a", link="l1", titulo="ponte nova abre hoje no centro"),
+             dict(same, fonte="b", link="", titulo="ponte nova abre hoje no centro"),
+             dict(same, fonte="b", link="", titulo="governo sobe imposto sobre vinho")]
+    bronze = spark.createDataFrame([tuple(i.get(c) for c in BRONZE.names) for i in items], BRONZE)
+    silver = build_silver(bronze, Config(), lexicon_scorer(["bom"], ["ruim"]))
+    assert sorted((r["fonte"], r["titulo"]) for r in silver.collect()) == [
+        ("a", "ponte nova abre hoje no centro"), ("b", "governo sobe imposto sobre vinho")]
+
+
+def test_phrase_with_null_column(spark):
+    from topicpulse.operators.containment import any_term_matches
+
+    articles = spark.createDataFrame([(1, None, "o dono do time saiu")], "ordem long, fonte string, texto_completo string")
+    terms = spark.createDataFrame([("time",), ("do time",)], "termo string")
+    found = any_term_matches(articles, terms, ["ordem", "fonte"])
+    assert {r["termo"] for r in found.collect()} == {"time", "do time"}

@@ -3,7 +3,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from conftest import rows
-from topicpulse.config import Config, portuguese_stopwords
+from topicpulse.config import PORTUGUESE_STOPWORDS, Config
 from topicpulse.functions import dates, labels, text as tx
 from topicpulse.functions.themes import categorize
 from topicpulse.operators.clean import arrival_order, clean_news, news_tokens
@@ -47,7 +47,7 @@ def test_tokens_are_whole_chunks(spark):
 
 def test_stopwords(spark):
     text = "O presidente disse que a economia vai bem segundo analistas"
-    stop = portuguese_stopwords() | {"segundo", "disse"}
+    stop = PORTUGUESE_STOPWORDS | {"segundo", "disse"}
     assert tokens(spark, text, stop) == ["presidente", "economia", "vai", "bem", "analistas"]
     # The token is folded, the list is not: an accented entry only works with fold.
     tok = tx.tokenize(F.col("t"))
@@ -119,4 +119,4 @@ def test_config_keys(tmp_path):
     c = Config.load(str(path))
     assert (c.sources, c.custom_stopwords, c.history_days, c.min_corpus) == ((("a", "u"),), {"x"}, 7, 3)
     assert (c.similarity, c.z_threshold, c.max_features) == (0.75, 2.0, 200)
-    assert "x" in c.stopwords and "estávamos" in c.stopwords and len(portuguese_stopwords()) > 150
+    assert "x" in c.stopwords and "estávamos" in c.stopwords and len(PORTUGUESE_STOPWORDS) > 150

@@ -18,17 +18,17 @@ DAYS = "data string, termo string, frequencia long"
 def test_emergence_without_history(spark, tmp_path):
     base = baseline(read_gold_topics(spark, str(tmp_path / "none")), 14, "2026-07-20")
     assert base.columns == BASELINE.names and base.isEmpty()
-    out = emergence(spark.createDataFrame([("crise", 10), ("futebol", 5)], TODAY), base, 2.0)
+    out = emergence(spark.createDataFrame([("chuva", 10), ("vento", 5)], TODAY), base, 2.0)
     assert sorted(rows(out.select("termo", "z_score", "emergente"))) == [
-        ("crise", 10.0, None), ("futebol", 5.0, None)]
+        ("chuva", 10.0, None), ("vento", 5.0, None)]
 
 
 def test_emergence_with_history(spark):
-    base = spark.createDataFrame([("crise", 10.0, 5.0), ("futebol", 10.0, 5.0), ("raro", 1.0, None)], BASELINE)
-    today = spark.createDataFrame([("crise", 50), ("futebol", 5), ("raro", 9), ("novo", 100)], TODAY)
+    base = spark.createDataFrame([("chuva", 10.0, 5.0), ("vento", 10.0, 5.0), ("raro", 1.0, None)], BASELINE)
+    today = spark.createDataFrame([("chuva", 50), ("vento", 5), ("raro", 9), ("novo", 100)], TODAY)
     got = {r["termo"]: r for r in emergence(today, base, 2.0).collect()}
-    assert got["crise"]["emergente"] is True and got["crise"]["z_score"] > 2
-    assert got["futebol"]["emergente"] is False and got["futebol"]["z_score"] < 2
+    assert got["chuva"]["emergente"] is True and got["chuva"]["z_score"] > 2
+    assert got["vento"]["emergente"] is False and got["vento"]["z_score"] < 2
     # One day of history has no deviation: no score, and not emerging.
     assert got["raro"]["z_score"] is None and got["raro"]["emergente"] is False
     assert got["novo"]["z_score"] == 100.0 and got["novo"]["emergente"] is None

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topicpulse.config import Config
 from topicpulse.functions import text as tx
+from topicpulse.runtime import cut_lineage
 
 
 def clean_news(df: DataFrame) -> DataFrame:
@@ -24,7 +25,14 @@ def news_tokens(df: DataFrame, config: Config, text: str = "texto_completo") ->
 
 
 def arrival_order(df: DataFrame) -> DataFrame:
-    """Default ``ordem`` of a row in its batch: by source, then by link."""
-    key = F.concat_ws("\u0001", F.coalesce(F.col("fonte"), F.lit("")),
-                      F.coalesce(F.col("link"), F.lit("")))
-    return df.withColumn("ordem", key)
+    """Default ``ordem`` of a row in its batch, unique: by source, then link, then content.
+
+    Items without a link or with the same one stay apart by a digest of their fields, and rows that
+    agree in all fields by a number. The rows are stored, so that the number stays theirs.
+    """
+    fields = ["titulo", "resumo", "data_publicacao"]
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in fields if c in df.columns])), 256)
+    number = F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0")
+    key = F.concat_ws("\u0001", F.coalesce(F.col("fonte"), F.lit("")), F.coalesce(F.col("link"), F.lit("")),
+                      digest, number)
+    return cut_lineage(df.withColumn("ordem", key))

@@ -50,7 +50,8 @@ def emergence_backfill(term_days: DataFrame, window_days: int, threshold: float,
     past = (Window.partitionBy("termo").orderBy(day_number(F.col("data")))
             .rangeBetween(-window_days, -1))
     mean, std = F.col("_media"), F.col("_std")
-    scored = (term_days.withColumn("_media", F.avg("frequencia").over(past))
+    scored = (term_days.filter(F.col("termo").isNotNull())
+              .withColumn("_media", F.avg("frequencia").over(past))
               .withColumn("_std", F.stddev_samp("frequencia").over(past))
               .withColumn("_dias", F.count("frequencia").over(past))
               .withColumn("z_score", _z(F.col("frequencia"), mean, std)))

@@ -17,12 +17,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table of fewer files than cores by ``key``, since text work is bound by CPU.
-
-    Tables with enough files keep their own splits and are not shuffled.
-    """
+    """Spread a table with fewer input splits than cores by ``key``, since text work is bound by CPU."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,9 +24,9 @@ def feed_stream(spark: SparkSession, landing: str, kind: str = "rss",
 
 
 def _with_key(df: DataFrame) -> DataFrame:
-    """An item is its link within a source and run date; without a link, its text."""
-    text = F.sha2(F.concat_ws("\u0001", "titulo", "resumo"), 256)
-    return df.withColumn("_chave", F.when(F.col("link") != "", F.col("link")).otherwise(text))
+    """An item is all of its fields; two different items may share a link or have none."""
+    fields = F.to_json(F.struct("titulo", "resumo", "data_publicacao", "link"))
+    return df.withColumn("_chave", F.sha2(fields, 256))
 
 
 def append_new(batch: DataFrame, path: str, days: list[str]) -> None:
