@@ -159,8 +159,11 @@ class PrefixCounter:
             total += sum(map(whole.__getitem__, units))
         return total
 
-    def prefix_counts(self, text: str) -> np.ndarray:
-        """Token counts of the prefixes of 0, 1, ... len(text) code points."""
+    def prefix_counts(self, text: str, budget: int = _BIG) -> np.ndarray:
+        """Token counts of the prefixes of 0, 1, ... len(text) code points.
+
+        Ends after a unit that goes beyond ``budget``; all longer prefixes do too.
+        """
         out, total = [], 0
         if not text:
             return np.zeros(1, np.int64)
@@ -169,13 +172,15 @@ class PrefixCounter:
             before = [total + self.run(spare), total + self.run(spare + 1) - 1]
             out.extend(before[s & 1] + (s >> 1) for s in self.unit(w))
             total = out[-1]
+            if total > budget:
+                break
         counts = np.array(out, np.int64)
         counts[0] = 0  # the blank that the model puts before a text is not a prefix of it
         return counts
 
     def fitting(self, text: str, budget: int) -> int:
         """Code points of the longest prefix of at most ``budget`` tokens."""
-        return int(np.flatnonzero(self.prefix_counts(text) <= budget)[-1])
+        return int(np.flatnonzero(self.prefix_counts(text, budget) <= budget)[-1])
 
 
 _counters: dict[str, PrefixCounter] = {}
