@@ -40,6 +40,19 @@ def test_feed_items(spark, tmp_path):
     assert dict(rows(feeds.source_counts(out))) == {"a": 2, "b": 1, "d": 1}
 
 
+def test_failures_are_reported(spark, tmp_path):
+    folder = tmp_path / "fonte=a" / "data_coleta=2026-07-20"
+    folder.mkdir(parents=True)
+    (folder / "good.xml").write_text("<channel><item><title>x</title></item><item><link>y</link></item></channel>")
+    (folder / "cut.xml").write_text("<channel><item><title>x</title></item><item><title>z")
+    (folder / "noise.xml").write_bytes(bytes(range(256)))
+    (folder / "torn.xml.gz").write_bytes(b"\x1f\x8b\x08\x00\x00")
+    got = {r["arquivo"].rsplit("/", 1)[1]: tuple(r)[3:] for r in feeds.feed_failures(spark, str(tmp_path)).collect()}
+    assert got == {"good.xml": (2, 1, 0, False), "cut.xml": (1, 0, 1, False), "noise.xml": (0, 0, 0, True),
+                   "torn.xml.gz": (0, 0, 0, True)}
+    assert feeds.project_feed(feeds.read_feed_items(spark, str(tmp_path))).count() == 3
+
+
 def test_atom_items_and_tagging(spark, tmp_path):
     folder = tmp_path / "fonte=a" / "data_coleta=2026-07-20"
     folder.mkdir(parents=True)

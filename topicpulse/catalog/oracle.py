@@ -8,7 +8,7 @@ would otherwise show where a mean ends exactly on a 5.
 
 from __future__ import annotations
 
-from topicpulse.catalog.registry import EMPTIED_DAY, FILTERED, RERUN_DAY
+from topicpulse.catalog.registry import BROKEN_DAYS, EMPTIED_DAY, FILTERED, RERUN_DAY
 from topicpulse.catalog.setup import (
     CONFIG, DOCUMENT_THEMES, EVENT_THEMES, NEGATIVE_WORDS, POSITIVE_WORDS, RUN_DAY,
 )
@@ -308,6 +308,13 @@ def _clean_shares(name: str, column: str) -> str:
             f"THEN CAST(CAST(round_even({column} * 100, 0) AS INTEGER) AS VARCHAR) || '%' ELSE '' END AS texto FROM hoje2")
 
 
+_LEXICON = _WITH_NEWS + f"""
+SELECT ordem, CASE WHEN p > n THEN 'POS' WHEN n > p THEN 'NEG' ELSE 'NEU' END AS sentimento_label,
+       round(CASE WHEN p + n = 0 THEN 1.0 WHEN p = n THEN 0.5 ELSE greatest(p, n) / (p + n) END, 6) AS sentimento_score
+FROM (SELECT ordem, {_hits(POSITIVE_WORDS)} AS p, {_hits(NEGATIVE_WORDS)} AS n FROM limpas)"""
+_FEED_ITEMS = "WITH" + _NEWS + """
+SELECT titulo, regexp_replace(resumo, '<[^>]+>', '', 'g') AS resumo, data_publicacao, link, fonte, data_coleta FROM news"""
+
 ORACLE: dict[str, str] = {
     "strip_html": "SELECT page_id, regexp_replace(coalesce(html, ''), '<[^>]+>', '', 'g') AS texto FROM pages",
     "clean_news": _WITH_NEWS + " SELECT ordem, titulo, resumo, texto_completo FROM limpas",
@@ -333,10 +340,8 @@ LEFT JOIN limpas o ON o.data_coleta = r.lote AND o.ordem = r.por""",
     "publication_times": "WITH" + _NEWS + """
 SELECT ordem, CASE WHEN data_publicacao <> '' THEN data_publicacao || ' 00:00:00' END AS publicado_em FROM news""",
     "theme_of_article": _WITH_NEWS + f" SELECT ordem, {_theme('texto_completo', DOCUMENT_THEMES)} AS tema FROM limpas",
-    "lexicon_sentiment": _WITH_NEWS + f"""
-SELECT ordem, CASE WHEN p > n THEN 'POS' WHEN n > p THEN 'NEG' ELSE 'NEU' END AS sentimento_label,
-       round(CASE WHEN p + n = 0 THEN 1.0 WHEN p = n THEN 0.5 ELSE greatest(p, n) / (p + n) END, 6) AS sentimento_score
-FROM (SELECT ordem, {_hits(POSITIVE_WORDS)} AS p, {_hits(NEGATIVE_WORDS)} AS n FROM limpas)""",
+    "lexicon_sentiment": _LEXICON,
+    "lexicon_table_sentiment": _LEXICON,
     "prediction_sentiment": _WITH_NEWS + _PREDICTIONS + _scored("limpas") + f"""
 SELECT ordem, label AS sentimento_label, score AS sentimento_score, {_SIGNED} AS pontuado FROM pontuadas""",
     "model_sentiment": _WITH_NEWS + """
@@ -346,6 +351,13 @@ FROM (SELECT ordem, length(texto_completo) - length(replace(texto_completo, '.',
              length(texto_completo) - length(replace(texto_completo, ',', '')) AS c FROM limpas)""",
     "term_sentiment": _WITH_NEWS + _PREDICTIONS + _scored("limpas") + _frequency("limpas")
         + _matches("pontuadas", "freq") + _by_term("achados") + """
+SELECT data, termo, round(round(sentimento_medio_termo, 12), 6) AS sentimento_medio_termo,
+       sentimento_predominante_termo, fontes FROM por_termo""",
+    "phrase_sentiment": _WITH_NEWS + _PREDICTIONS + _scored("limpas") + """,
+frases AS (
+  SELECT DISTINCT data, termo FROM (
+    SELECT data, array_to_string(list_slice(string_split(titulo, ' '), 1, 2), ' ') AS termo FROM limpas)
+  WHERE regexp_full_match(termo, '\\S+ \\S+'))""" + _matches("pontuadas", "frases") + _by_term("achados") + """
 SELECT data, termo, round(round(sentimento_medio_termo, 12), 6) AS sentimento_medio_termo,
        sentimento_predominante_termo, fontes FROM por_termo""",
     "gold_topics": _SILVER + _frequency("unicas") + _doc_tfidf("unicas") + _emergence("freq")
@@ -360,8 +372,11 @@ SELECT data_coleta, extraidas, coalesce(limpas, 0) AS limpas, coalesce(unicas, 0
 FROM (SELECT data_coleta, count(*) AS extraidas FROM news GROUP BY 1)
 LEFT JOIN (SELECT data_coleta, count(*) AS limpas FROM limpas GROUP BY 1) USING (data_coleta)
 LEFT JOIN (SELECT data_coleta, count(*) AS unicas FROM unicas GROUP BY 1) USING (data_coleta)""",
-    "feed_items": "WITH" + _NEWS + """
-SELECT titulo, regexp_replace(resumo, '<[^>]+>', '', 'g') AS resumo, data_publicacao, link, fonte, data_coleta FROM news""",
+    "feed_items": _FEED_ITEMS,
+    "atom_items": _FEED_ITEMS,
+    "feed_failures": "WITH" + _NEWS + f"""
+SELECT fonte, data_coleta, count(*) + any_value(q) AS itens, any_value(q) AS quebrados, CAST(0 AS BIGINT) AS sem_itens
+FROM (SELECT *, CAST(CASE WHEN data_coleta LIKE '%{BROKEN_DAYS}' THEN 1 ELSE 0 END AS BIGINT) AS q FROM news) GROUP BY fonte, data_coleta""",
     "run_summary": _RUN + """
 SELECT data, total_noticias, total_termos
 FROM (SELECT data, count(*) AS total_noticias FROM pontuadas GROUP BY data)
@@ -391,6 +406,8 @@ FROM dias LEFT JOIN base USING (termo) WHERE data = '{RUN_DAY}'""",
     "term_sources": "WITH" + _EVENTS + _by_term("eventos") + " SELECT data, termo, fontes FROM por_termo",
     "kpis": _EV + _kpis("g1"),
     "filtered_topics": _EV + f"SELECT {_G1_COLUMNS} FROM g1 WHERE {_FILTER}",
+    "filtered_themes": _EV + f"""SELECT {_G2_COLUMNS} FROM g2
+WHERE data >= '{FILTERED.inicio}' AND data <= '{FILTERED.fim}' AND tema IN {_list(FILTERED.temas)}""",
     "filtered_kpis": "WITH" + _EVENT_GOLD + f", gf AS (SELECT * FROM g1 WHERE {_FILTER})" + _kpis("gf"),
     "sentiment_over_time": _EV + "SELECT data, tema, round(round(sentimento_medio, 12), 6) AS sentimento_medio FROM g2",
     "sentiment_distribution": _EV + """

@@ -68,16 +68,16 @@ def tokens(spark, sf):
 
 
 def document_frequency(spark, sf):
-    return _doc_terms(_clean(spark, sf).withColumn("data", F.col("data_coleta")))
+    return terms.ranked(_doc_terms(_clean(spark, sf).withColumn("data", F.col("data_coleta"))), "frequencia", ["data"])
 
 
 def tfidf(spark, sf):
     docs = _clean(spark, sf).withColumn("data", F.col("data_coleta"))
-    return rounded(terms.tfidf(docs, "ordem", by=["data"]))
+    return terms.ranked(rounded(terms.tfidf(docs, "ordem", by=["data"])), "tfidf_score", ["data"])
 
 
 def tfidf_corpus(spark, sf):
-    return rounded(terms.tfidf(_clean(spark, sf), "ordem"))
+    return terms.ranked(rounded(terms.tfidf(_clean(spark, sf), "ordem")), "tfidf_score")
 
 
 def similar_titles(spark, sf):
@@ -135,9 +135,27 @@ def term_sentiment_query(spark, sf):
     return rounded(term_sentiment.term_sentiment(scored, freq, n_terms=freq.count()))
 
 
+def phrase_sentiment(spark, sf):
+    """Sentiment of phrases: the first two words of each title, sought in all articles of the day."""
+    scored = cut_lineage(_scored(spark, sf).select("data", "ordem", "titulo", "texto_completo", "sentimento_label",
+                                                   "sentimento_score", "fonte"))
+    phrases = (scored.select("data", F.substring_index("titulo", " ", 2).alias("termo"))
+               .filter(F.col("termo").rlike(r"^\S+ \S+$")).distinct())
+    return rounded(term_sentiment.term_sentiment(scored, phrases, letters_only=False))
+
+
+def lexicon_table_sentiment(spark, sf):
+    """The word lists as a table: every word that a document holds, with its polarity."""
+    words = _clean(spark, sf).select(F.explode(text.tokenize(F.col("texto_completo"))).alias("palavra")).distinct()
+    polarity = F.when(F.col("palavra").isin(*POSITIVE_WORDS), 1).when(F.col("palavra").isin(*NEGATIVE_WORDS), -1)
+    table = words.withColumn("polaridade", polarity).filter("polaridade is not null")
+    score = sentiment.lexicon_table_scorer(table, "ordem")
+    return rounded(score(_clean(spark, sf)).select("ordem", "sentimento_label", "sentimento_score"))
+
+
 def document_gold(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Both gold tables of all days from the documents: the whole pipeline in one plan."""
-    silver = _silver(spark, sf)
+    """Both gold tables of all days from the documents; silver is stored once for its consumers."""
+    silver = cut_lineage(_silver(spark, sf))
     freq = cut_lineage(terms.document_frequency(silver, ["data"]))
     emerging = trends.emergence_backfill(freq, CONFIG.history_days, CONFIG.z_threshold)
     weights = terms.tfidf(silver, "ordem", by=["data"], n_batches=views.BATCH_DAYS)
@@ -159,21 +177,31 @@ def source_counts(spark, sf):
 
 
 def run_counts(spark, sf):
-    """Rows per batch before and after cleaning and deduplication."""
-    raw = views.news(spark, sf).groupBy("data_coleta").agg(F.count(F.lit(1)).alias("extraidas"))
-    kept = _clean(spark, sf).groupBy("data_coleta").agg(F.count(F.lit(1)).alias("limpas"))
-    left = (dedup.dedup_news(_clean(spark, sf), CONFIG.similarity).groupBy("data_coleta")
-            .agg(F.count(F.lit(1)).alias("unicas")))
-    out = raw.join(kept, "data_coleta", "left").join(left, "data_coleta", "left")
-    return out.na.fill(0).withColumn("descartadas", F.col("extraidas") - F.col("limpas")).withColumn(
-        "duplicatas", F.col("limpas") - F.col("unicas"))
+    """Rows per batch before and after cleaning and deduplication; the texts are read once."""
+    rows = cut_lineage(views.news(spark, sf).select(
+        "data_coleta", "ordem", "link", "data_publicacao", text.normalize_text(F.col("titulo")).alias("titulo"),
+        clean.has_text().alias("limpa")))
+    gone = (dedup.dropped_rows(rows.filter("limpa"), CONFIG.similarity).groupBy("data_coleta")
+            .agg(F.count(F.lit(1)).alias("duplicatas")))
+    out = (rows.groupBy("data_coleta").agg(F.count(F.lit(1)).alias("extraidas"), F.count_if("limpa").alias("limpas"))
+           .join(gone, "data_coleta", "left").na.fill(0))
+    return out.withColumn("unicas", F.col("limpas") - F.col("duplicatas")).withColumn(
+        "descartadas", F.col("extraidas") - F.col("limpas"))
 
 
 # --- feeds, runs and the incremental run ---------------------------------------------------
 
-def _land_feeds(spark, sf) -> str:
+def _land_feeds(spark, sf, kind: str = "rss") -> str:
     """The documents as feed files, one folder per source and day."""
     folder = scratch_path(spark, "landing")
+    if kind == "atom":
+        (views.news(spark, sf).select(
+            F.col("titulo").alias("title"), F.concat(F.lit("<p>"), "resumo", F.lit("</p>")).alias("summary"),
+            F.col("data_publicacao").alias("published"), F.struct(F.col("link").alias("_href")).alias("link"),
+            "fonte", "data_coleta")
+         .write.format("xml").option("rowTag", "entry").option("rootTag", "feed")
+         .partitionBy("fonte", "data_coleta").save(folder))
+        return folder
     (views.news(spark, sf).select(
         F.col("titulo").alias("title"), F.concat(F.lit("<p>"), "resumo", F.lit("</p>")).alias("description"),
         F.col("data_publicacao").alias("pubDate"), "link", "fonte", "data_coleta")
@@ -187,6 +215,22 @@ def feed_items(spark, sf):
     return feeds.project_feed(items)
 
 
+def atom_items(spark, sf):
+    items = feeds.require_any_source(feeds.read_feed_items(spark, _land_feeds(spark, sf, "atom"), "atom"))
+    return feeds.project_feed(items)
+
+
+def feed_failures(spark, sf):
+    """Good and broken files per source and day: each source also has a file that breaks off on one day of ten."""
+    folder = _land_feeds(spark, sf)
+    days = views.news(spark, sf).filter(F.substring("data_coleta", -1, 1) == BROKEN_DAYS).select(
+        "fonte", "data_coleta").distinct()
+    (days.select(F.lit("<channel><item><title>a</title></item><item><title>b").alias("value"), "fonte", "data_coleta")
+     .write.mode("append").partitionBy("fonte", "data_coleta").text(folder))
+    return feeds.feed_failures(spark, folder).groupBy("fonte", "data_coleta").agg(
+        F.sum("itens").alias("itens"), F.sum("quebrados").alias("quebrados"), F.count_if("sem_itens").alias("sem_itens"))
+
+
 def _all_days() -> list[str]:
     return [dates.shift_day(views.FIRST_DAY, i) for i in range(views.BATCH_DAYS)]
 
@@ -222,6 +266,7 @@ def event_gold(spark, sf) -> tuple[DataFrame, DataFrame]:
     return g1, gold.gold_themes(ev, EVENT_THEMES, "termo")
 
 
+BROKEN_DAYS = "0"  # last digit of the days
 RERUN_DAY, EMPTIED_DAY = "2024-01-20", "2024-01-21"
 
 
@@ -271,7 +316,8 @@ def _on_themes(product: Callable[..., DataFrame], **kwargs) -> Query:
 
 
 def insights(spark, sf):
-    return rounded(products.insights(*event_gold(spark, sf)))
+    # Gold is a stored table in the daily run.
+    return rounded(products.insights(*[cut_lineage(g) for g in event_gold(spark, sf)]))
 
 
 FILTERED = products.Filters(temas=("política", "economia", "outros"), fontes=("purchase", "error"),
@@ -282,6 +328,10 @@ def filtered_topics(spark, sf):
     return rounded(FILTERED.topics(event_gold(spark, sf)[0]))
 
 
+def filtered_themes(spark, sf):
+    return rounded(FILTERED.themes(event_gold(spark, sf)[1]))
+
+
 def filtered_kpis(spark, sf):
     return rounded(products.kpis(event_gold(spark, sf)[0], FILTERED))
 
@@ -302,21 +352,26 @@ QUERIES: dict[str, Query] = {
     "publication_times": publication_times,
     "theme_of_article": theme_of_article,
     "lexicon_sentiment": lexicon_sentiment,
+    "lexicon_table_sentiment": lexicon_table_sentiment,
     "prediction_sentiment": prediction_sentiment,
     "model_sentiment": model_sentiment,
     "term_sentiment": term_sentiment_query,
     "term_mode_label": term_mode_label,
     "term_sources": term_sources,
+    "phrase_sentiment": phrase_sentiment,
     "gold_topics": gold_topics,
     "gold_theme_sentiment": gold_theme_sentiment,
     "source_counts": source_counts,
     "run_counts": run_counts,
     "feed_items": feed_items,
+    "atom_items": atom_items,
+    "feed_failures": feed_failures,
     "run_summary": run_summary,
     "incremental_run": incremental_run,
     "upsert_result": upsert_result,
     "kpis": _on_topics(products.kpis),
     "filtered_topics": filtered_topics,
+    "filtered_themes": filtered_themes,
     "filtered_kpis": filtered_kpis,
     "insights": insights,
     "sentiment_over_time": _on_themes(products.sentiment_over_time),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicpulse.config import Config
@@ -10,9 +10,14 @@ from topicpulse.functions import text as tx
 from topicpulse.runtime import cut_lineage
 
 
+def has_text() -> Column:
+    """Is the title or the summary more than white space?"""
+    return ~(tx.is_blank(F.col("titulo")) & tx.is_blank(F.col("resumo")))
+
+
 def clean_news(df: DataFrame) -> DataFrame:
     """Normalise title and summary, add ``texto_completo`` and drop blank rows."""
-    kept = df.filter(~(tx.is_blank(F.col("titulo")) & tx.is_blank(F.col("resumo"))))
+    kept = df.filter(has_text())
     return (kept.withColumn("titulo", tx.normalize_text(F.col("titulo")))
             .withColumn("resumo", tx.normalize_text(F.col("resumo")))
             .withColumn("texto_completo", tx.full_text(F.col("titulo"), F.col("resumo"))))

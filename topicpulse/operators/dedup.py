@@ -121,9 +121,10 @@ def _resolve_links(state: DataFrame, links: DataFrame) -> DataFrame:
 def _resolve(df: DataFrame, threshold: float, batch: str, order: str, date_mode: str,
              block: int, slice_rows: int) -> _Resolution:
     link = F.col("link") if "link" in df.columns else F.col(order).cast("string")
-    rows = with_title_key(df).select(
+    # Titles, groups and members are derived from this narrow table; the texts are read once.
+    rows = cut_lineage(with_title_key(df).select(
         F.col(batch).alias("lote"), "chave", "grupo", F.col(order).alias("ordem"),
-        publication_time(F.col("data_publicacao"), date_mode).alias("pub"), link.alias("link"))
+        publication_time(F.col("data_publicacao"), date_mode).alias("pub"), link.alias("link")))
     pairs = cut_lineage(similar_groups(rows.select("lote", "chave", "grupo"), "lote", threshold, block))
     both = (pairs.select("lote", F.col("grupo_i").alias("de"), F.col("grupo_j").alias("para"))
             .unionByName(pairs.select("lote", F.col("grupo_j").alias("de"),

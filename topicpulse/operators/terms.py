@@ -17,6 +17,11 @@ def document_frequency(df: DataFrame, by: Sequence[str] = (), tokens: str = "tok
             .groupBy(*by, "termo").agg(F.count(F.lit(1)).alias("frequencia")))
 
 
+def ranked(stats: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
+    """Term statistics in report order: per batch the highest first, ties by term."""
+    return stats.orderBy(*by, F.desc(metric), F.asc("termo"))
+
+
 def smooth_idf(n_docs: Column, df: Column) -> Column:
     return F.log((n_docs + 1.0) / (df + 1.0)) + 1.0
 

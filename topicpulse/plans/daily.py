@@ -18,7 +18,7 @@ from topicpulse.operators.terms import document_frequency, tfidf
 from topicpulse.operators.trends import emergence_backfill
 from topicpulse.plans.gold import gold_themes, gold_topics
 from topicpulse.runtime import cut_lineage
-from topicpulse.schemas import BRONZE, SILVER
+from topicpulse.schemas import BRONZE, GOLD_TOPICS, SILVER
 from topicpulse.sources.tables import (
     read_gold_topics, read_or_empty, upsert_gold, validate_non_empty, write_stage,
 )
@@ -93,5 +93,15 @@ def run_days(spark: SparkSession, base: str, days: Iterable[str], config: Config
             .withColumn("gold1_path", F.lit(at.topics)).withColumn("gold2_path", F.lit(at.themes)))
 
 
+def rescore_days(spark: SparkSession, base: str, days: Iterable[str], config: Config) -> DataFrame:
+    """New z-scores and flags for stored days whose history changed; reads gold only, no texts."""
+    days, at = sorted(set(days)), Layout(base)
+    gold = read_gold_topics(spark, at.topics)
+    rows = gold.filter(F.col("data").isin(days))
+    scored = term_history(rows.select("data", "termo", "frequencia"), gold, days, config)
+    new = rows.drop("z_score", "emergente").join(scored.drop("frequencia"), ["data", "termo"])
+    return upsert_gold(new.select(*GOLD_TOPICS.names), at.topics, days)
+
+
 def run_day(spark: SparkSession, base: str, day: str, config: Config, scorer: Scorer) -> DataFrame:
     return run_days(spark, base, [day], config, scorer)

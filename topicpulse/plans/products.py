@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from topicpulse.functions import labels as lb
 from topicpulse.functions.text import capitalize, csv_items, display_label
 from topicpulse.operators.trends import day_over_day
+from topicpulse.runtime import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -198,7 +199,8 @@ def topic_summary(g1: DataFrame, k: int = 5, filters: Filters = NO_FILTERS) -> D
 def insights(g1: DataFrame, g2: DataFrame, filters: Filters = NO_FILTERS, k: int = 3) -> DataFrame:
     """The insight bar as rows (tipo, chave, valor)."""
     d1, d2 = filters.topics(g1), filters.themes(g2)
-    today, today2 = latest(d1), latest(d2)
+    # Twelve rows read the last day, so it is stored once; so are the two day counts.
+    today, today2 = cut_lineage(latest(d1)), latest(d2)
 
     def rows(df: DataFrame, kind: str, key, value) -> DataFrame:
         return df.select(F.lit(kind).alias("tipo"), key.cast("string").alias("chave"),
@@ -211,7 +213,7 @@ def insights(g1: DataFrame, g2: DataFrame, filters: Filters = NO_FILTERS, k: int
     by_theme = by_theme.withColumn("pct", F.col("n") / F.sum("n").over(every) * 100)
     total = today.agg(_emerging_count().alias("e"), F.count(F.lit(1)).alias("n"))
     scored = today2.filter(F.col("sentimento_medio").isNotNull())
-    change = day_over_day(d1)
+    change = cut_lineage(day_over_day(d1))
     label = F.col("sentimento_predominante_termo")
     one = F.lit(1.0)
     return reduce(DataFrame.unionByName, [

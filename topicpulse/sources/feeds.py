@@ -2,6 +2,7 @@
 
 Files lie under ``landing/fonte=<name>/data_coleta=<day>/``, so the source and the run date are
 partition columns: a source without files gives no rows and reading one day opens only its files.
+A broken or unreadable file doesn't fail the run; :func:`feed_failures` tells what could not be read.
 """
 
 from __future__ import annotations
@@ -18,35 +19,60 @@ from topicpulse.schemas import BRONZE, FEED_ITEM
 _PARTITIONS = [T.StructField("fonte", T.StringType()), T.StructField("data_coleta", T.StringType())]
 _ATOM_LINK = T.StructField("link", T.StructType([T.StructField("_href", T.StringType())]))
 _ROW_TAG = {"rss": "item", "atom": "entry"}
+BROKEN = "_quebrado"
 
 
 def feed_schema(kind: str = "rss") -> T.StructType:
     fields = [f for f in FEED_ITEM.fields if f.name != "link"]
     link = _ATOM_LINK if kind == "atom" else T.StructField("link", T.StringType())
-    return T.StructType(fields + [link] + _PARTITIONS)
+    return T.StructType(fields + [link, T.StructField(BROKEN, T.StringType())] + _PARTITIONS)
 
 
 def feed_options(kind: str = "rss") -> dict[str, str]:
-    """Broken items and unreadable files are skipped, they do not fail the run."""
+    """A file is read up to its first broken item, whose row has the text in ``BROKEN`` and nothing else."""
     if kind not in _ROW_TAG:
         raise ValueError(f"unknown feed kind: {kind}")
     return {"rowTag": _ROW_TAG[kind], "mode": "PERMISSIVE", "ignoreCorruptFiles": "true",
-            "ignoreMissingFiles": "true"}
+            "ignoreMissingFiles": "true", "columnNameOfCorruptRecord": BROKEN}
 
 
 def read_feed_items(spark: SparkSession, landing: str, kind: str = "rss") -> DataFrame:
+    """Good and broken items, the latter with ``BROKEN`` set."""
     return (spark.read.format("xml").options(**feed_options(kind)).schema(feed_schema(kind))
             .load(landing))
 
 
+def is_broken() -> Column:
+    """Nothing but the raw text was read. (Spark refuses to read ``BROKEN`` without another column.)"""
+    return F.col(BROKEN).isNotNull() & F.col("title").isNull()
+
+
+def feed_failures(spark: SparkSession, landing: str, kind: str = "rss") -> DataFrame:
+    """One row per landed file: (fonte, data_coleta, arquivo, itens, sem_titulo, quebrados, sem_itens).
+
+    ``quebrados`` is 1 for a file whose rest could not be read, ``sem_itens`` tells that it gave nothing at
+    all: empty, unreadable or of another kind. Files are listed without opening them.
+    """
+    file = F.col("_metadata.file_path").alias("arquivo")
+    broken = is_broken()
+    counts = {"itens": ~broken, "sem_titulo": ~broken & F.col("title").isNull(), "quebrados": broken}
+    read = (read_feed_items(spark, landing, kind).groupBy(file)
+            .agg(*[F.count_if(c).alias(name) for name, c in counts.items()]))
+    files = (spark.read.format("binaryFile").load(landing)
+             .select(*[F.col(p.name).cast("string").alias(p.name) for p in _PARTITIONS], file))
+    return (files.join(read, "arquivo", "left").na.fill(0, list(counts))
+            .select("fonte", "data_coleta", "arquivo", *counts, (F.col("itens") == 0).alias("sem_itens")))
+
+
 def project_feed(items: DataFrame) -> DataFrame:
-    """Items to bronze columns: absent values become "", tags leave the summary."""
+    """Good items to bronze columns: absent values become "", tags leave the summary."""
     def text(*cols: Column) -> Column:
         return F.coalesce(*cols, F.lit(""))
 
     is_atom = isinstance(items.schema["link"].dataType, T.StructType)
     link = F.col("link._href") if is_atom else F.col("link")
-    return items.select(
+    good = items.filter(~is_broken()) if BROKEN in items.columns else items
+    return good.select(
         text(F.col("title")).alias("titulo"),
         strip_html(text(F.col("summary"), F.col("description"))).alias("resumo"),
         text(F.col("published"), F.col("pubDate")).alias("data_publicacao"),

@@ -1,4 +1,4 @@
-"""Incremental daily run: new feed files flow to bronze, touched dates are recomputed."""
+"""Incremental daily run: new feed files flow to bronze, touched dates are recomputed, later ones re-scored."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from topicpulse.config import Config
 from topicpulse.functions.dates import shift_day
 from topicpulse.operators.sentiment import Scorer
-from topicpulse.plans.daily import Layout, run_days
+from topicpulse.plans.daily import Layout, rescore_days, run_days
 from topicpulse.schemas import BRONZE
 from topicpulse.sources.feeds import feed_options, feed_schema, project_feed
 from topicpulse.sources.tables import append_bronze, read_or_empty
@@ -38,22 +38,22 @@ def append_new(batch: DataFrame, path: str, days: list[str]) -> None:
     append_bronze(fresh.select(*BRONZE.names), path)
 
 
-def affected_days(spark: SparkSession, path: str, touched: list[str], window_days: int) -> list[str]:
-    """The touched dates and the later ones whose baseline window contains one of them."""
+def later_days(spark: SparkSession, path: str, touched: list[str], window_days: int) -> list[str]:
+    """The other stored dates whose baseline window contains a touched one."""
     day = F.col("data_coleta")
     stored = (read_or_empty(spark, path, BRONZE)
               .filter(day.between(min(touched), shift_day(max(touched), window_days)))
               .select(day).distinct().collect())
     later = {r["data_coleta"] for r in stored
              if any(day < r["data_coleta"] <= shift_day(day, window_days) for day in touched)}
-    return sorted(later | set(touched))
+    return sorted(later - set(touched))
 
 
 def ingest(stream: DataFrame, base: str, config: Config, scorer: Scorer, checkpoint: str) -> None:
     """Process everything that has landed, then stop.
 
     A micro-batch is never the whole of a date, so each touched date is recomputed from all
-    of its bronze rows.
+    of its bronze rows. Later dates keep their frequencies and get new scores from gold.
     """
     spark, at = stream.sparkSession, Layout(base)
 
@@ -63,8 +63,10 @@ def ingest(stream: DataFrame, base: str, config: Config, scorer: Scorer, checkpo
             touched = [r["data_coleta"] for r in batch.select("data_coleta").distinct().collect()]
             if touched:
                 append_new(batch, at.bronze, touched)
-                days = affected_days(spark, at.bronze, touched, config.history_days)
-                run_days(spark, base, days, config, scorer)
+                run_days(spark, base, touched, config, scorer)
+                later = later_days(spark, at.bronze, touched, config.history_days)
+                if later:
+                    rescore_days(spark, base, later, config)
         finally:
             batch.unpersist()
 
