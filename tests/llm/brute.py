@@ -75,6 +75,15 @@ def line_dedup(docs, need):
     return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in docs}
 
 
+def similar(docs):
+    """docs: (id, text); the smallest id reachable over a Jaccard similarity of 0.8 of 5-word shingles."""
+    sets = {}
+    for i, t in docs:
+        w = words(lower(t or ""))
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    return components(sorted(sets), lambda a, b: 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]))
+
+
 def passages(docs):
     """docs sorted by id; the removed (line, first, end) spans of each."""
     found, sets = [], {}

@@ -139,6 +139,38 @@ def test_near_links_in_split_cells(spark):
     assert {s: found.get(s, s) for s in signed} == want
 
 
+def test_similar_texts_equal_brute_force(spark, docs, texts):
+    rnd = random.Random(12)
+    base = [prose(rnd, rnd.randint(30, 200)).split() for _ in range(6)]
+    near = []
+    for w in base:
+        for edits in range(0, 8):
+            own = list(w)
+            for _ in range(edits):
+                own[rnd.randrange(len(own))] = "changed"
+            near.append(" ".join(own))
+    every = texts + near
+    for rows_per_cell in (3, 1024):
+        table = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string").repartition(3)
+        got = {r["doc_id"]: r["component_id"] for r in near_dedup.similar(table, rows_per_cell).collect()}
+        assert got == brute.similar(list(enumerate(every)))
+    assert len(set(got.values())) < len(every) - 20
+
+
+def test_similarity_of_long_texts():
+    rnd = random.Random(13)
+    words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(6000)]
+    for edits in (30, 100, 300):
+        own = list(words)
+        for i in range(edits):
+            own[20 * i] = "x"
+        sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (words, own)]
+        true = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+        made = [near_dedup.signature(" ".join(w))[2] for w in (words, own)]
+        assert abs(near_dedup.jaccard(*made) - true) < 0.07
+    assert near_dedup.signature("")[1] == [] and near_dedup.jaccard(b"", b"") == 1.0
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 130)] + [(200, 200)]
     got = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
@@ -262,7 +294,7 @@ def test_pipeline_equals_brute_force(spark, docs, texts, tmp_path):
     docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     kept = {i for i, r in by_id(quality.judged(docs)).items() if r["kept"]}
     left = brute.line_dedup([(i, texts[i]) for i in sorted(kept)], line_dedup.GUARANTEE)
-    _, group = brute.near_duplicates(sorted(left.items()), near_dedup.STAGE_SHINGLE, near_dedup.STAGE_RADIUS)
+    group = brute.similar(sorted(left.items()))
     left = [(i, left[i]) for i in sorted(left) if group[i] == i]
     gone = brute.passages(left)
     want = {i: len(brute.words(brute.cut(t, gone[i]) if gone[i] else t)) for i, t in left}

@@ -14,7 +14,7 @@ without doc_id have no id to offer and get their group's smallest, null if it ha
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -84,12 +84,16 @@ def pivots(count: int = PIVOTS) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(f"pivot {i}".encode(), SEED) for i in range(count)], np.uint64)
 
 
-def linked(cell: np.ndarray, fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that join two groups, over rows with cells together."""
+def linked(cell: np.ndarray, fp: np.ndarray, radius: int,
+           same: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+    """Links (pairs of row numbers) that join two groups, over rows with cells together.
+
+    A pair within the radius is a link when ``same`` says so too, if given.
+    """
     x, ref = fp.view(np.uint64), pivots()
     table = np.stack([np.bitwise_count(x ^ p) for p in ref], axis=1).astype(np.int8)
     order = np.lexsort((table[:, 0], cell))
-    cell, x, fp, table = cell[order], x[order], fp[order], table[order]
+    cell, x, table = cell[order], x[order], table[order]
     sets, label, out = Forest(len(x)), np.arange(len(x)), []
     at = np.arange(len(x))
     for lag in range(1, len(x)):
@@ -101,34 +105,41 @@ def linked(cell: np.ndarray, fp: np.ndarray, radius: int) -> list[tuple[int, int
         near = at[label[at] != label[at + lag]]
         near = near[np.abs(table[near] - table[near + lag]).max(axis=1, initial=0) <= radius]
         near = near[np.bitwise_count(x[near] ^ x[near + lag]) <= radius]
+        joined = len(out)
         for i in near.tolist():
-            if sets.union(i, i + lag):
-                out.append((int(fp[i]), int(fp[i + lag])))
-        if len(near):
+            if sets.find(i) == sets.find(i + lag):
+                continue
+            pair = int(order[i]), int(order[i + lag])
+            if same is None or same(*pair):
+                sets.union(i, i + lag)
+                out.append(pair)
+        if len(out) > joined:
             label = np.fromiter((sets.find(i) for i in range(len(x))), np.int64, len(x))
     return out
 
 
-def _search(radius: int):
+def _search(radius: int, sketched: bool = False):
+    """Over rows sorted by cell: cell, node (the fingerprint), or cell, node, fingerprint, sketch."""
     def run(batches):
-        def done(cell, fp):
-            pairs = linked(np.unique(cell, return_inverse=True)[1], fp, radius)
+        def done(cols):
+            node, fp = cols[1], cols[2 if sketched else 1]
+            same = (lambda i, j: alike(cols[3][i], cols[3][j])) if sketched else None
+            pairs = linked(np.unique(cols[0], return_inverse=True)[1], fp, radius, same)
             return pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
-                ["a", "b"])
+                [pa.array([int(node[p[k]]) for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-        cell, fp = np.array([], object), np.array([], np.int64)
+        held = None
         for b in batches:
             if not b.num_rows:
                 continue
-            cell = np.concatenate([cell, b.column(0).to_numpy(zero_copy_only=False)])
-            fp = np.concatenate([fp, b.column(1).to_numpy(zero_copy_only=False)])
-            cut = int(np.argmax(cell == cell[-1]))  # the last cell may go on in the next batch
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+            held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
+            cut = int(np.argmax(held[0] == held[0][-1]))  # the last cell may go on in the next batch
             if cut:
-                yield done(cell[:cut], fp[:cut])
-                cell, fp = cell[cut:], fp[cut:]
-        if len(fp):
-            yield done(cell, fp)
+                yield done([x[:cut] for x in held])
+                held = [x[cut:] for x in held]
+        if held is not None:
+            yield done(held)
 
     return run
 
@@ -160,16 +171,106 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(of, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-# The stage: 5-word shingles; within 6 of 64 bits the shingle sets agree by well over 0.8.
+# The stage. On 64 bits no radius parts a similarity of 0.8 from less: texts that alike differ in about 10 bits
+# and in up to 20, so a radius that small blocks can serve loses most of them. Here the cells come from MinHash
+# bands (a pair of similarity 0.8 meets with probability 1 - (1 - 0.8^5)^16 > 0.998), the pivot
+# tables discard pairs beyond STAGE_RADIUS bits, and survivors are verified by the Jaccard similarity of their shingles.
 STAGE_SHINGLE = 5
-STAGE_RADIUS = 6
+STAGE_RADIUS = 20
+SIMILARITY = 0.8
+BANDS, ROWS = 16, 5
+SKETCH = 512
+STAGE_CELL_ROWS = 2048
+_BLOCK = 1024
+
+
+def _multipliers() -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(f"band {i}".encode(), SEED) | 1 for i in range(BANDS * ROWS)], np.uint64)
+
+
+def signature(text: str, size: int = STAGE_SHINGLE) -> tuple[int, list[int], bytes]:
+    """(fingerprint, band keys, sketch) of the distinct shingles, in one pass and bounded memory.
+
+    The sketch holds the ``SKETCH`` smallest 32-bit shingle hashes: the whole set where it has no more. A text
+    without words has no band keys.
+    """
+    votes, n = np.zeros(64, np.int64), 0
+    factors = _multipliers()
+    least, low = np.full(len(factors), 2 ** 64 - 1, np.uint64), np.array([], np.uint32)
+    for h in shingle_hashes(text, size):
+        for i in range(0, len(h), 1 << 16):
+            part = h[i:i + (1 << 16)]
+            votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(
+                0, dtype=np.int64)
+            n += len(part)
+            own = np.unique(part)
+            low = np.unique(np.concatenate([low, (own >> np.uint64(32)).astype(np.uint32)]))[:SKETCH]
+            for k in range(0, len(own), _BLOCK):
+                least = np.minimum(least, (factors[:, None] * own[None, k:k + _BLOCK]).min(axis=1))
+    fp = int(np.packbits(2 * votes > n, bitorder="little").view(np.int64)[0])
+    bands = least.reshape(BANDS, ROWS)
+    keys = [xxhash.xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(bands)] if n else []
+    return fp, keys, low.tobytes()
+
+
+def jaccard(a: bytes, b: bytes) -> float:
+    """Exact for two sketches that are whole sets, else estimated on the ``SKETCH`` smallest of the union."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    both = np.concatenate([x, y])
+    both.sort()
+    twice = both[1:] == both[:-1]
+    total = len(both) - int(twice.sum())
+    if not total:
+        return 1.0
+    if max(len(x), len(y)) < SKETCH or total <= SKETCH:
+        return int(twice.sum()) / total
+    last = both[np.flatnonzero(np.concatenate([[True], ~twice]))[SKETCH - 1]]
+    return int((twice & (both[1:] <= last)).sum()) / SKETCH
+
+
+def alike(a: bytes, b: bytes) -> bool:
+    return jaccard(a, b) >= SIMILARITY
+
+
+def signatures(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, keys, sketch, node); texts with equal signatures are one node."""
+    def run(batches):
+        for b in batches:
+            found = [signature(t or "") for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([x[0] for x in found], pa.int64()),
+                 pa.array([x[1] for x in found], pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary())],
+                ["doc_id", "fp", "keys", "sketch"])
+
+    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("t")).mapInArrow(
+        run, "doc_id long, fp long, keys array<long>, sketch binary")
+    return made.withColumn("node", F.xxhash64("fp", "keys", "sketch"))
+
+
+def similar(docs: DataFrame, cell_rows: int = STAGE_CELL_ROWS) -> DataFrame:
+    """(doc_id, component_id): groups of rows linked by a shingle similarity of 0.8 or more."""
+    prints = stored(signatures(docs), "near-prints")
+    nodes = stored(prints.groupBy("node").agg(
+        F.min("doc_id").alias("low"), F.first("fp").alias("fp"), F.first("keys").alias("keys"),
+        F.first("sketch").alias("sketch")), "near-nodes")
+    # Sketches join only the rows of keys that two nodes share.
+    dealt = cells(nodes.select("node", F.explode("keys").alias("key")), "key", "node", cell_rows).select("cell", "node")
+    met = dealt.join(nodes.select("node", "fp", "sketch"), "node").select("cell", "node", "fp", "sketch")
+    edges = stored(met.repartition("cell").sortWithinPartitions("cell")
+                   .mapInArrow(_search(STAGE_RADIUS, True), "a long, b long"), "near-links")
+    release(docs.sparkSession)
+    group = components(edges, "a", "b")
+    member = nodes.join(group, "node", "left").select("node", "low", F.coalesce("component", "node").alias("root"))
+    lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
+    of = stored(member.join(lowest, "root").select("node", "component_id"), "near-groups")
+    return prints.select("doc_id", "node").join(of, "node").select("doc_id", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` without those of a group whose doc_id is not its smallest.
 
-    Rows repeated under one doc_id stand or fall together; rows without doc_id stay.
+    Texts without words are one group. Rows repeated under one doc_id stand or fall together; rows without doc_id stay.
     """
-    found = near_duplicates(docs, size=STAGE_SHINGLE, radius=STAGE_RADIUS)
-    gone = stored(found.where("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone")
+    found = similar(docs)
+    gone = stored(found.where("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
