@@ -100,21 +100,50 @@ def _round(state: DataFrame, links: DataFrame) -> DataFrame:
     met = _meet(open_rows, state.filter(F.coalesce("ativo", F.lit(True))), links)
     met = _killed_by(met, F.coalesce("ativo", F.lit(False)), "_morto")
     met = _killed_by(met, F.col("ativo").isNull(), "_preso")
+    w = _before(*_CELL, order=[F.asc("ordem"), F.asc("tipo")], rows=_UP_TO)
+    met = (met.withColumn("_fontes", F.sum("tipo").over(w))
+           .withColumn("_fonte", F.max(F.when(F.col("tipo") == 1, F.col("ordem"))).over(w)))
     decided = (met.filter(F.col("tipo") == 0).groupBy("lote", F.col("de").alias("grupo"), "ordem")
                .agg(F.max("_morto").alias("_morto"), F.max("_preso").alias("_preso"),
                     F.first("fatias").alias("fatias"), F.first("pub").alias("pub"),
-                    F.first("link").alias("link"))
-               .select(*_ROW, F.when(F.col("_morto"), False)
-                       .when(~F.col("_preso"), True).alias("ativo")))
-    return state.filter(F.col("ativo").isNotNull()).unionByName(decided)
+                    F.first("link").alias("link"), F.sum("_fontes").alias("_fontes"),
+                    F.max("_fonte").alias("_fonte"))
+               .select(*_ROW, F.when(F.col("_morto"), False).when(~F.col("_preso"), True).alias("ativo"),
+                       F.when(~F.col("_morto") & F.col("_preso") & (F.col("_fontes") == 1),
+                              F.col("_fonte")).alias("unico")))
+    return state.filter(F.col("ativo").isNotNull()).unionByName(decided, allowMissingColumns=True)
+
+
+def _follow_chains(state: DataFrame) -> DataFrame:
+    """Settle undecided rows with one possible remover (``unico``) by pointer jumping.
+
+    Such a row is active exactly when its remover is not, so a path of them only needs the state of its
+    end and the parity of its length; steps double, and a chain takes logarithmically many.
+    """
+    paths = cut_lineage(state.filter(F.col("unico").isNotNull()).select(
+        "lote", "ordem", F.col("unico").alias("fim"), F.lit(True).alias("impar"), F.lit(True).alias("andou")))
+    if paths.isEmpty():
+        return state.drop("unico")
+    while not paths.filter("andou").isEmpty():
+        ahead = paths.select("lote", F.col("ordem").alias("fim"), F.col("fim").alias("_fim"),
+                             F.col("impar").alias("_impar"))
+        paths = cut_lineage(paths.join(ahead, ["fim", "lote"], "left").select(
+            "lote", "ordem", F.coalesce("_fim", "fim").alias("fim"),
+            F.when(F.col("_fim").isNull(), F.col("impar")).otherwise(F.col("impar") != F.col("_impar")).alias("impar"),
+            F.col("_fim").isNotNull().alias("andou")))
+    ends = state.filter(F.col("ativo").isNotNull()).select("lote", F.col("ordem").alias("fim"),
+                                                          F.col("ativo").alias("_ativo"))
+    known = paths.join(ends, ["fim", "lote"]).select("lote", "ordem", (F.col("_ativo") != F.col("impar")).alias("_sabe"))
+    return cut_lineage(state.join(known, ["ordem", "lote"], "left").select(
+        *_ROW, F.coalesce("ativo", "_sabe").alias("ativo")))
 
 
 def _resolve_links(state: DataFrame, links: DataFrame) -> DataFrame:
-    """Rounds until no row is undecided; each round settles at least the first open rows."""
+    """Rounds until no row is undecided; each settles at least the first open rows and the chains behind them."""
     settled = state.filter(F.col("ativo").isNotNull())
     state = cut_lineage(state.filter(F.col("ativo").isNull()))
     while not state.filter(F.col("ativo").isNull()).isEmpty():
-        state = cut_lineage(_round(state, links))
+        state = _follow_chains(cut_lineage(_round(state, links)))
     return settled.unionByName(state)
 
 
