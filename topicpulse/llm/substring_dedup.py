@@ -6,14 +6,17 @@ probability 1 - (1 - 0.8^2)^5 > 0.993; equal paragraphs are one node and always
 paragraphs are verified on their whole shingle sets (Jaccard >= ``SIMILARITY``), and within a
 component the occurrence with the smallest (doc_id, text hash, place) stays; all others are removed.
 
-A passage may also lie inside different lines. So every line of ``LONG_WORDS`` words or more is also cut before words
-whose 5-word shingle hash is the least among ``REACH`` neighbours on both sides, which cuts a
-passage alike wherever it stands, apart from its ends. Stretches between cuts of ``MIN_STRETCH`` words or
-more are removed when the same stretch occurred earlier; only equal stretches are one node.
-
-Nodes are 64-bit hashes of the words. Null and empty texts have no paragraphs. Rows repeated under
+A passage may also stand inside different texts, so every run of ``PASSAGE`` words that occurred earlier is
+removed too, which takes out the whole of any longer run. Runs go over line breaks (``over_lines``), so the same words
+laid out in other lines are found. They are found in two steps, without pairs: of the hashes of ``GRAM`` words
+the least of each run is its anchor (``REACH`` of them lie in a run, so equal runs have equal anchors wherever they stand);
+then only runs whose anchor occurs twice are hashed as a whole and grouped. A run that overlaps its
+own first occurrence stays.
+
+Nodes are 64-bit hashes of the words. Null and empty texts have no passages. Rows repeated under
 one doc_id with one text are one document and share their removals; rows without doc_id come first
-in order. What is left of a cut line is joined by single blanks; a line without words left goes.
+in order. A span (line, first, last) counts words from the start of its line; one that passes the end of the line
+goes on in the next lines with words. What is left of a cut line is joined by single blanks; a line without words left goes.
 """
 
 from __future__ import annotations
@@ -28,9 +31,9 @@ from topicpulse.llm.common import Forest, cells, components, release, stored
 
 SHINGLE = 5
 MIN_WORDS = 25
-LONG_WORDS = 50
-MIN_STRETCH = 16
-REACH = 10
+PASSAGE = 51
+GRAM = 20
+REACH = PASSAGE - GRAM + 1
 SIMILARITY = 0.8
 BANDS, ROWS = 5, 2
 BATCH_CHARS = 1 << 20
@@ -58,51 +61,87 @@ def word_hashes(words: list[bytes], memo: dict) -> np.ndarray:
 def rolled(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """Hashes of all runs of ``size`` words (the array is shorter by size - 1)."""
     out = np.zeros(max(0, len(h) - size + 1), np.uint64)
-    for k in range(size):
+    for k in range(size if len(out) else 0):
         out = mix(out + h[k:len(h) - size + 1 + k] + np.uint64(k + 1))
     return out
 
 
+_BASE = 0x9E3779B97F4A7C15
+
+
+def run_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """As ``rolled``, by prefix sums: the cost does not depend on ``size``."""
+    if len(h) < size:
+        return np.zeros(0, np.uint64)
+    one = np.ones(1, np.uint64)
+    up, down = (np.cumprod(np.concatenate([one, np.full(len(h), x, np.uint64)]), dtype=np.uint64)
+                for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+    total = np.concatenate([0 * one, np.cumsum(mix(h) * up[:-1], dtype=np.uint64)])
+    return mix((total[size:] - total[:-size]) * down[:len(h) - size + 1])
+
+
 class Paragraphs:
-    """Paragraphs and stretches of some texts, all words in one array.
+    """Paragraphs and runs of some texts, all words in one array.
 
-    ``spans``: (text, line, first word, end word, place of the first word in ``words``, is a whole line).
+    ``whole`` and ``spans``: (text, line, first word, end word, place of the first word in ``words``, is a whole line).
     """
 
     def __init__(self, texts: list[str], memo: dict):
         words: list[bytes] = []
-        lines = []
+        self.whole, lines, ends = [], [], []
         for k, text in enumerate(texts):
             for at, line in enumerate(text.split("\n") if text else ()):
                 own = line.encode("utf-8", "surrogatepass").lower().split()
+                if own:
+                    lines.append((at, len(words), len(own)))
                 if len(own) >= MIN_WORDS:
-                    lines.append((k, at, len(words), len(own)))
-                    words += own
+                    self.whole.append((k, at, 0, len(own), len(words), True))
+                words += own
+            ends.append(len(words))
         self.words = word_hashes(words, memo)
-        self.shingles = sh = rolled(self.words)
-        self.spans = []
-        if not lines:
-            return
-        cut = np.zeros(len(sh), bool)
-        if len(sh) > 2 * REACH:
-            low = np.lib.stride_tricks.sliding_window_view(sh, 2 * REACH + 1).min(axis=1)
-            cut[REACH:len(sh) - REACH] = sh[REACH:len(sh) - REACH] == low
-        at_cut = np.flatnonzero(cut)
-        start = np.array([x[2] for x in lines])
-        size = np.array([x[3] for x in lines])
-        # a cut counts if all its neighbours belong to the line
-        lo = np.searchsorted(at_cut, start + REACH)
-        hi = np.searchsorted(at_cut, start + size - (SHINGLE - 1) - REACH)
-        for (k, at, a, n), i, j in zip(lines, lo.tolist(), hi.tolist()):
-            self.spans.append((k, at, 0, n, a, True))
-            if n >= LONG_WORDS and j > i:
-                edge = [0, *(at_cut[i:j] - a).tolist(), n]
-                self.spans += [(k, at, x, y, a + x, False) for x, y in zip(edge, edge[1:]) if y - x >= MIN_STRETCH]
+        self.shingles = rolled(self.words)
+        self.ends = np.array(ends, np.int64)  # of the texts
+        size = np.array([x[2] for x in lines], np.int64)
+        self.line = np.repeat(np.array([x[0] for x in lines], np.int64), size)
+        self.line_start = np.repeat(np.array([x[1] for x in lines], np.int64), size)
+        self.line_end = self.line_start + np.repeat(size, size)
+
+    def runs(self, over_lines: bool = True) -> np.ndarray:
+        """Places of the first words of all runs of ``PASSAGE`` words in one text, or in one line."""
+        at = np.arange(max(0, len(self.words) - PASSAGE + 1))
+        end = self.ends[np.searchsorted(self.ends, at, "right")] if over_lines else self.line_end[at]
+        return at[at + PASSAGE <= end]
+
+    def run_nodes(self, at: np.ndarray) -> np.ndarray:
+        return run_hashes(self.words, PASSAGE)[at].view(np.int64)
+
+    def anchors(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and place of the anchor of each run."""
+        grams = run_hashes(self.words, GRAM)
+        if not len(at):
+            return np.zeros(0, np.int64), at
+        low = np.lib.stride_tricks.sliding_window_view(grams, REACH).argmin(axis=1)[at] + at
+        return grams[low].view(np.int64), low
+
+    @property
+    def spans(self) -> list[tuple]:
+        at = self.runs(over_lines=False)
+        text = np.searchsorted(self.ends, at, "right")
+        first = at - self.line_start[at]
+        return self.whole + [(k, i, x, x + PASSAGE, a, False) for k, i, x, a in zip(
+            text.tolist(), self.line[at].tolist(), first.tolist(), at.tolist())]
 
     def nodes(self) -> list[int]:
+        """Of ``spans``."""
+        return self.line_nodes() + self.run_nodes(self.runs(over_lines=False)).tolist()
+
+    def line_nodes(self) -> list[int]:
         raw = memoryview(self.words.view(np.uint8))
         digest = xxhash.xxh64_intdigest
-        return [digest(raw[8 * a:8 * (a + y - x)], int(whole)) - (1 << 63) for _, _, x, y, a, whole in self.spans]
+        return [digest(raw[8 * a:8 * (a + y - x)], 1) - (1 << 63) for _, _, x, y, a, _ in self.whole]
+
+    def start(self, text: int) -> int:
+        return int(self.ends[text - 1]) if text else 0
 
     def set_of(self, span) -> np.ndarray:
         _, _, x, y, a, _ = span
@@ -121,7 +160,9 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys.T
 
 
-FOUND = "doc_id long, th long, line int, first int, last int, node long, keys array<long>"
+# A row for each paragraph, and one with the anchors of each text that has runs. ``pos``: words before it in the text.
+FOUND = "doc_id long, th long, line int, last int, pos int, node long, keys array<long>, anchors array<long>"
+LOOKED = "node long, shingles binary, doc_id long, th long, line int, first int, pos int"
 
 
 def _groups(texts: list[str]):
@@ -134,40 +175,69 @@ def _groups(texts: list[str]):
             first, weight = k + 1, 0
 
 
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
 def _find(batches):
     memo: dict = {}
     for b in batches:
         ids, ths, texts = (b.column(i).to_pylist() for i in range(3))
         for i, j in _groups(texts):
             p = Paragraphs(texts[i:j], memo)
-            if not p.spans:
-                continue
-            whole = [s for s in p.spans if s[5]]
-            keys = band_keys([p.set_of(s) for s in whole]).view(np.int64)
-            ends = np.cumsum([0] + [BANDS if s[5] else 0 for s in p.spans])  # stretches have no keys
-            cols = [[ids[i + s[0]] for s in p.spans], [ths[i + s[0]] for s in p.spans], *zip(*(s[1:4] for s in p.spans))]
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, y) for c, y in zip(cols, types)], pa.array(p.nodes(), pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.reshape(-1)))],
-                ["doc_id", "th", "line", "first", "last", "node", "keys"])
-
-
-def _wanted(batches):
-    """(node, shingles) of the asked lines; columns t, asked list of (line, node)."""
-    memo: dict = {}
-    for b in batches:
-        texts, asked = b.column(0).to_pylist(), b.column(1).to_pylist()
-        nodes, blobs = [], []
-        for i, j in _groups(texts):
-            want = {(k, x["line"]): x["node"] for k in range(i, j) for x in asked[k]}
-            p = Paragraphs(texts[i:j], memo)
-            for s in p.spans:
-                if s[5] and (node := want.get((i + s[0], s[1]))) is not None:
-                    nodes.append(node)
-                    blobs.append(np.unique(p.set_of(s)).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())],
-                                         ["node", "shingles"])
+            whole, at = p.whole, p.runs()
+            if whole:
+                keys = band_keys([p.set_of(s) for s in whole]).view(np.int64)
+                ends = np.arange(0, BANDS * len(whole) + 1, BANDS)
+                cols = [pa.array([ids[i + s[0]] for s in whole], pa.int64()), pa.array([ths[i + s[0]] for s in whole], pa.int64()),
+                        pa.array([s[1] for s in whole], pa.int32()), pa.array([s[3] for s in whole], pa.int32()),
+                        pa.array([s[4] - p.start(s[0]) for s in whole], pa.int32()), pa.array(p.line_nodes(), pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.reshape(-1))),
+                        pa.nulls(len(whole), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(cols, _names(FOUND))
+            if len(at):
+                anchor, low = p.anchors(at)
+                first = np.concatenate([[True], low[1:] != low[:-1]])  # each place once
+                anchor, text = anchor[first], np.searchsorted(p.ends, low[first], "right")
+                own, begin = np.unique(text, return_index=True)
+                n = len(own)
+                cols = [pa.array([ids[i + k] for k in own.tolist()], pa.int64()), pa.array([ths[i + k] for k in own.tolist()], pa.int64()),
+                        *[pa.nulls(n, pa.int32())] * 3, pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())),
+                        pa.ListArray.from_arrays(pa.array(np.append(begin, len(anchor)), pa.int32()), pa.array(anchor))]
+                yield pa.RecordBatch.from_arrays(cols, _names(FOUND))
+
+
+def _look(over_lines: bool):
+    """Shingles of the asked lines, and the runs that have an asked anchor; columns t, doc_id, th, asked, anchors."""
+    def run(batches):
+        memo: dict = {}
+        for b in batches:
+            texts, ids, ths, asked = (b.column(i).to_pylist() for i in range(4))
+            marks = [np.array(x or [], np.int64) for x in b.column(4).to_pylist()]
+            for i, j in _groups(texts):
+                p = Paragraphs(texts[i:j], memo)
+                want = {(k, x["line"]): x["node"] for k in range(i, j) for x in asked[k] or ()}
+                lines = [(n, np.unique(p.set_of(s)).tobytes()) for s in p.whole
+                         if (n := want.get((i + s[0], s[1]))) is not None]
+                if lines:
+                    m = len(lines)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x[0] for x in lines], pa.int64()), pa.array([x[1] for x in lines], pa.binary()),
+                         *[pa.nulls(m, pa.int64())] * 2, *[pa.nulls(m, pa.int32())] * 3], _names(LOOKED))
+                at = p.runs(over_lines)
+                # asked by any text of the group: no run is missed, and equal runs are found by their nodes
+                at = at[np.isin(p.anchors(at)[0], np.concatenate(marks[i:j]))]
+                if not len(at):
+                    continue
+                text = np.searchsorted(p.ends, at, "right")
+                nulls = pa.nulls(len(at), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(p.run_nodes(at)), nulls,
+                     pa.array(ids[i:j], pa.int64()).take(pa.array(text)), pa.array(ths[i:j], pa.int64()).take(pa.array(text)),
+                     pa.array(p.line[at].astype(np.int32)), pa.array((at - p.line_start[at]).astype(np.int32)),
+                     pa.array((at - np.concatenate([[0], p.ends])[text]).astype(np.int32))], _names(LOOKED))
+
+    return run
 
 
 def _similar(batches):
@@ -204,47 +274,60 @@ def _similar(batches):
     yield batch(links(nodes, sets))
 
 
-PLACE = ["doc_id", "th", "line", "first", "last"]
+PLACE = ["doc_id", "th", "pos"]
 
 
-def line_links(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): verified links between the nodes of whole lines that join all similar ones."""
-    lines = (found.where(F.size("keys") > 0).groupBy("node")
-             .agg(F.min(F.struct("doc_id", "th", "line")).alias("at"), F.first("keys").alias("keys")))
-    lines = stored(lines, "paragraph-nodes")
-    banded = lines.select("node", F.explode("keys").alias("key"))
-    met = stored(cells(banded, "key", "node", CELL_ROWS).select("cell", "node"), "paragraph-cells")
-    asked = (lines.join(met.select("node").distinct(), "node").select("at.*", "node")
-             .groupBy("doc_id", "th").agg(F.collect_list(F.struct("line", "node")).alias("asked")))
-    asked = stored(asked.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), "paragraphs-asked")
+def looked_up(rows: DataFrame, found: DataFrame, lines: DataFrame, met: DataFrame, over_lines: bool) -> DataFrame:
+    """Shingles of the paragraphs in cells, and the runs whose anchor occurs more than once."""
+    prints = found.where("anchors is not null").select("doc_id", "th", F.explode("anchors").alias("anchor"))
+    again = prints.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    ask = lines.join(met.select("node").distinct(), "node").select("at.doc_id", "at.th", F.struct("at.line", "node").alias("ask"))
+    asked = (ask.withColumn("anchor", F.lit(None).cast("long"))
+             .unionByName(prints.join(again, "anchor"), allowMissingColumns=True).groupBy("doc_id", "th")
+             .agg(F.collect_list("ask").alias("asked"), F.collect_set("anchor").alias("anchors")))
+    asked = stored(asked.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), "passages-asked")
     release(rows.sparkSession)
     texts = (rows.join(asked, (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-             .select("t", "asked"))
-    sets = stored(texts.mapInArrow(_wanted, "node long, shingles binary"), "paragraph-shingles")
-    sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))  # repeated rows ask twice
+             .select("t", "doc_id", "th", "asked", "anchors"))
+    return stored(texts.mapInArrow(_look(over_lines), LOOKED), "passages-looked")
+
+
+def line_links(looked: DataFrame, met: DataFrame) -> DataFrame:
+    """(a, b): verified links between the nodes of whole lines that join all similar ones."""
+    sets = looked.where("shingles is not null").groupBy("node").agg(F.first("shingles").alias("shingles"))  # repeated rows ask twice
     dealt = met.join(sets, "node").select("cell", "node", "shingles")
     return stored(dealt.repartition("cell").sortWithinPartitions("cell")
                   .mapInArrow(_similar, "a long, b long"), "paragraph-links")
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Occurrences to remove: all but the first of each component, with the document of the first."""
+def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", over_lines: bool = False) -> DataFrame:
+    """Occurrences to remove: all but the first of each component or run, with the document of the first."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
     found = stored(rows.mapInArrow(_find, FOUND), "paragraphs")
-    edges = line_links(rows, found)
+    whole = found.where("line is not null").withColumn("first", F.lit(0))
+    lines = stored(whole.groupBy("node").agg(F.min(F.struct("doc_id", "th", "line")).alias("at"),
+                                             F.first("keys").alias("keys")), "paragraph-nodes")
+    met = stored(cells(lines.select("node", F.explode("keys").alias("key")), "key", "node", CELL_ROWS)
+                 .select("cell", "node"), "paragraph-cells")
+    looked = looked_up(rows, found, lines, met, over_lines)
     release(docs.sparkSession)
-    group = components(edges, "a", "b")
+    group = components(line_links(looked, met), "a", "b")
     place = F.struct(*PLACE)
-    node = stored(found.groupBy("node").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("n"))
+    node = stored(whole.groupBy("node").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("n"))
                   .join(group.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
                   .where("n > 1 or component is not null").select("node", "head", "component"), "paragraph-heads")
     release(docs.sparkSession)
     first = node.where("component is not null").groupBy("component").agg(F.min("head").alias("low"))
     heads = node.join(first, "component", "left").select("node", F.coalesce("low", "head").alias("head"))
-    apart = ~((F.col("doc_id").eqNullSafe(F.col("head.doc_id"))) & (F.col("th") == F.col("head.th"))
-              & (F.col("line") == F.col("head.line")) & (F.col("first") < F.col("head.last")))
-    return (found.drop("keys").join(heads, "node").where((place > F.col("head")) & apart)
-            .select(*PLACE, "node", F.col("head.doc_id").alias("kept_in")))
+    out = [*PLACE, "line", "first", "last", F.col("head.doc_id").alias("kept_in")]
+    again = whole.join(heads, "node").where(place > F.col("head")).select(*out)
+
+    runs = looked.where("pos is not null").withColumn("last", F.col("first") + PASSAGE)
+    starts = (runs.groupBy("node").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+              .select("node", "head"))
+    apart = ~(F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("th") == F.col("head.th"))
+              & (F.col("pos") < F.col("head.pos") + PASSAGE))
+    return again.unionByName(runs.join(starts, "node").where((place > F.col("head")) & apart).select(*out))
 
 
 def _spans(items):
@@ -252,19 +335,54 @@ def _spans(items):
 
 
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, th, spans, kept_in): one row per document that loses something."""
+    """(doc_id, th, spans, kept_in): paragraphs and runs within lines, a span each, of documents that lose something."""
     return repeats(docs, doc_id, text).groupBy("doc_id", "th").agg(
         _spans(F.struct("line", "first", "last")).alias("spans"), _spans(F.col("kept_in")).alias("kept_in"))
 
 
-def _without(line: str, spans: list[tuple[int, int]]) -> str | None:
-    """The line without the given word spans; None if no word is left."""
-    words = line.encode("utf-8", "surrogatepass").split()
-    drop = set()
-    for a, b in spans:
-        drop.update(range(a, b))
-    left = [w for i, w in enumerate(words) if i not in drop]
-    return b" ".join(left).decode("utf-8", "surrogatepass") if left else None
+def _joined(batches):
+    """Spans (pos, line, first, last) sorted by pos, those that meet made one."""
+    for b in batches:
+        out = []
+        for spans in b.column(2).to_pylist():
+            merged, end = [], -1
+            for s in spans:
+                if s["pos"] <= end:
+                    over = s["pos"] + s["last"] - s["first"] - end
+                    if over > 0:
+                        merged[-1]["last"] += over
+                        end += over
+                else:
+                    merged.append({k: s[k] for k in ("line", "first", "last")})
+                    end = s["pos"] + s["last"] - s["first"]
+            out.append(merged)
+        shape = pa.list_(pa.struct([(k, pa.int32()) for k in ("line", "first", "last")]))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, shape), b.column(3)],
+                                         ["doc_id", "th", "spans", "kept_in"])
+
+
+def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``removals``, with runs over line breaks, and spans that overlap or touch made one."""
+    found = repeats(docs, doc_id, text, over_lines=True).groupBy("doc_id", "th").agg(
+        _spans(F.struct("pos", "line", "first", "last")).alias("spans"), _spans(F.col("kept_in")).alias("kept_in"))
+    return found.mapInArrow(_joined, "doc_id long, th long, spans array<struct<line:int,first:int,last:int>>, kept_in array<long>")
+
+
+def without_spans(text: str, spans: list[dict]) -> str:
+    lines = text.split("\n")
+    words = [x.encode("utf-8", "surrogatepass").split() for x in lines]
+    start = np.cumsum([0] + [len(w) for w in words])
+    gone = np.zeros(start[-1], bool)
+    for s in spans:
+        gone[start[s["line"]] + s["first"]:start[s["line"]] + s["last"]] = True
+    out = []
+    for line, own, a in zip(lines, words, start.tolist()):
+        drop = gone[a:a + len(own)]
+        if not drop.any():
+            out.append(line)
+        elif not drop.all():
+            out.append(b" ".join(w for w, x in zip(own, drop.tolist()) if not x).decode("utf-8", "surrogatepass"))
+    return "\n".join(out)
 
 
 def _cut(batches):
@@ -272,22 +390,16 @@ def _cut(batches):
         out = []
         for t, spans in zip(b.column(b.schema.get_field_index("_b")).to_pylist(),
                             b.column(b.schema.get_field_index("_spans")).to_pylist()):
-            if t and spans:
-                by_line: dict = {}
-                for s in spans:
-                    by_line.setdefault(s["line"], []).append((s["first"], s["last"]))
-                lines = [_without(x, by_line[i]) if i in by_line else x for i, x in enumerate(t.split("\n"))]
-                t = "\n".join(x for x in lines if x is not None)
-            out.append(t)
+            out.append(without_spans(t, spans) if t and spans else t)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["_row", "_t"])
 
 
-def without_passages(docs: DataFrame) -> DataFrame:
+def without_passages(docs: DataFrame, over_lines: bool = False) -> DataFrame:
     """The stage: ``docs`` with the later occurrences taken out of the texts; all rows stay.
 
-    ``n_chars`` follows the new text where the table has it.
+    ``n_chars`` follows the new text where the table has it. Runs go over line breaks if ``over_lines``.
     """
-    gone = stored(removals(docs).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"),
+    gone = stored((passages if over_lines else removals)(docs).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"),
                                         F.col("spans").alias("_spans")), "paragraph-spans")
     row = F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("_row")
     left = docs.select(row, F.col("text").alias("_b"), F.col("doc_id").cast("long").alias("_key"),
