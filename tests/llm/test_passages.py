@@ -47,3 +47,30 @@ def test_runs_inside_different_lines_go_whole(spark):
     assert {i: t.split() for i, t in new.items()} == want
     assert sum(len(t.split()) - len(want[i]) for i, t in enumerate(texts)) == 2 * 3 * (51 + 52 + 60 + 70 + 100)
     assert len(spans) == 2 * 3 * 5 and all(len(r["spans"]) == 1 for r in spans.values())
+
+
+def test_runs_go_over_line_breaks(spark):
+    rnd = random.Random(22)
+    texts = []
+    for width in (4, 7, 11, 24):
+        shared = prose(rnd, rnd.randint(51, 90))
+        for own in (width, width + 3, 13):
+            texts.append(wrapped(prose(rnd, 20) + shared + prose(rnd, 30), own))
+        texts.append(" ".join(shared))
+    texts += ["\n\n".join(wrapped(texts[0].split(), 9).split("\n")), wrapped(prose(rnd, 6) * 30, 8), wrapped(prose(rnd, 50), 8)]
+    new, spans = removed(spark, texts)
+    want = plain(list(enumerate(texts)))
+    assert {i: t.split() for i, t in new.items()} == want
+    assert not want[16] and len(want[17]) < 70 and len(want[18]) == 50
+    for i, r in spans.items():
+        lines = [x.split() for x in texts[i].split("\n")]
+        ahead = [w for s in r["spans"] for w in sum(lines[s["line"]:], [])[s["first"]:s["last"]]]
+        assert len(ahead) == len(texts[i].split()) - len(want[i])
+
+
+def test_runs_kept_apart_from_an_earlier_short_copy(spark):
+    rnd = random.Random(23)
+    core, more = prose(rnd, 40), prose(rnd, 30)
+    texts = [wrapped(prose(rnd, 30) + core + prose(rnd, 30), 10), wrapped(core + more, 9), wrapped(prose(rnd, 5) + core + more, 8)]
+    new, _ = removed(spark, texts)
+    assert [len(new[i].split()) for i in range(3)] == [100, 70, 5]

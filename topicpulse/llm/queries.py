@@ -44,7 +44,7 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document that repeats a passage: the removed spans and the documents that keep them."""
-    return substring_dedup.removals(documents(spark, sf_dir)).select(
+    return substring_dedup.passages(documents(spark, sf_dir)).select(
         "doc_id", "spans", "kept_in", F.size("spans").cast("long").alias("n_removed"))
 
 
