@@ -118,15 +118,30 @@ def linked(cell: np.ndarray, fp: np.ndarray, radius: int,
     return out
 
 
-def _search(radius: int, sketched: bool = False):
-    """Over rows sorted by cell: cell, node (the fingerprint), or cell, node, fingerprint, sketch."""
+def _search(radius: int, verdict: Callable[[bytes, bytes], bool | None] | None = None):
+    """Over rows sorted by cell: cell, node (the fingerprint), or cell, node, fingerprint, what ``verdict`` compares.
+
+    With a verdict, rows of pairs it leaves open (None) come out as (cell, node, null), links as (null, a, b).
+    """
     def run(batches):
         def done(cols):
-            node, fp = cols[1], cols[2 if sketched else 1]
-            same = (lambda i, j: alike(cols[3][i], cols[3][j])) if sketched else None
-            pairs = linked(np.unique(cols[0], return_inverse=True)[1], fp, radius, same)
+            node, fp, open_ = cols[1], cols[2 if verdict else 1], set()
+
+            def same(i: int, j: int) -> bool:
+                said = verdict(cols[3][i], cols[3][j])
+                if said is None:
+                    open_.update((i, j))
+                return bool(said)
+
+            pairs = linked(np.unique(cols[0], return_inverse=True)[1], fp, radius, same if verdict else None)
+            a, b = ([int(node[p[k]]) for p in pairs] for k in (0, 1))
+            if not verdict:
+                return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            left = sorted(open_)
             return pa.RecordBatch.from_arrays(
-                [pa.array([int(node[p[k]]) for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+                [pa.array([None] * len(a) + [cols[0][i] for i in left], pa.string()),
+                 pa.array(a + [int(node[i]) for i in left], pa.int64()), pa.array(b + [None] * len(left), pa.int64())],
+                ["cell", "a", "b"])
 
         held = None
         for b in batches:
@@ -174,12 +189,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 # The stage. On 64 bits no radius parts a similarity of 0.8 from less: texts that alike differ in about 10 bits
 # and in up to 20, so a radius that small blocks can serve loses most of them. Here the cells come from MinHash
 # bands (a pair of similarity 0.8 meets with probability 1 - (1 - 0.8^5)^16 > 0.998), the pivot
-# tables discard pairs beyond STAGE_RADIUS bits, and survivors are verified by the Jaccard similarity of their shingles.
+# tables discard pairs beyond STAGE_RADIUS bits, and survivors are verified by the Jaccard similarity of their shingles:
+# on sketches where these are whole sets or leave no doubt, else on the whole sets.
 STAGE_SHINGLE = 5
 STAGE_RADIUS = 20
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 5
 SKETCH = 512
+# Of 512 draws at a similarity of 0.8 a share under the first or from the second on has a probability below 1e-13.
+SURE = 0.65, 0.93
 STAGE_CELL_ROWS = 2048
 _BLOCK = 1024
 
@@ -232,32 +250,77 @@ def alike(a: bytes, b: bytes) -> bool:
     return jaccard(a, b) >= SIMILARITY
 
 
+def verdict(a: bytes, b: bytes) -> bool | None:
+    """Whether two sketches' texts are similar; None if that takes their whole sets."""
+    j = jaccard(a, b)
+    full = [len(x) // 4 >= SKETCH for x in (a, b)]
+    if not any(full):
+        return j >= SIMILARITY
+    return False if j < SURE[0] else True if all(full) and j >= SURE[1] else None
+
+
+def whole_set(text: str, size: int = STAGE_SHINGLE) -> bytes:
+    """All distinct shingle hashes, sorted."""
+    found = [np.unique(h) for h in shingle_hashes(text, size)]
+    return np.unique(np.concatenate(found)).tobytes() if found else b""
+
+
+def alike_sets(a: bytes, b: bytes) -> bool:
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= SIMILARITY * (len(x) + len(y) - both)
+
+
+def _sets(batches):
+    for b in batches:
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array([whole_set(t or "") for t in b.column(1).to_pylist()], pa.binary())], ["node", "shingles"])
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, keys, sketch, node); texts with equal signatures are one node."""
+    """(doc_id, th, fp, keys, sketch, node); texts with equal signatures are one node."""
     def run(batches):
         for b in batches:
-            found = [signature(t or "") for t in b.column(1).to_pylist()]
+            found = [signature(t or "") for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([x[0] for x in found], pa.int64()),
+                [b.column(0), b.column(1), pa.array([x[0] for x in found], pa.int64()),
                  pa.array([x[1] for x in found], pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary())],
-                ["doc_id", "fp", "keys", "sketch"])
+                ["doc_id", "th", "fp", "keys", "sketch"])
 
-    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("t")).mapInArrow(
-        run, "doc_id long, fp long, keys array<long>, sketch binary")
+    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"),
+                       F.col("text").alias("t")).mapInArrow(run, "doc_id long, th long, fp long, keys array<long>, sketch binary")
     return made.withColumn("node", F.xxhash64("fp", "keys", "sketch"))
 
 
+def _settled(docs: DataFrame, nodes: DataFrame, open_: DataFrame) -> DataFrame:
+    """(a, b): links among the nodes (cell, node) that sketches left open, by their whole shingle sets."""
+    asked = (nodes.join(open_.select("node").distinct(), "node")
+             .select("node", F.col("at.doc_id").alias("_id"), F.col("at.th").alias("_th")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_h"), F.col("text").alias("t"))
+    texts = texts.join(asked, (F.col("_h") == F.col("_th")) & F.col("_d").eqNullSafe(F.col("_id"))).select("node", "t")
+    sets = stored(texts.mapInArrow(_sets, "node long, shingles binary"), "near-sets")
+    sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))  # rows repeated under one doc_id
+    met = open_.join(nodes.select("node", "fp"), "node").join(sets, "node").select("cell", "node", "fp", "shingles")
+    return stored(met.repartition("cell").sortWithinPartitions("cell").mapInArrow(
+        _search(STAGE_RADIUS, alike_sets), "cell string, a long, b long").select("a", "b"), "near-exact")
+
+
 def similar(docs: DataFrame, cell_rows: int = STAGE_CELL_ROWS) -> DataFrame:
     """(doc_id, component_id): groups of rows linked by a shingle similarity of 0.8 or more."""
     prints = stored(signatures(docs), "near-prints")
     nodes = stored(prints.groupBy("node").agg(
-        F.min("doc_id").alias("low"), F.first("fp").alias("fp"), F.first("keys").alias("keys"),
+        F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "th")).alias("at"), F.first("fp").alias("fp"), F.first("keys").alias("keys"),
         F.first("sketch").alias("sketch")), "near-nodes")
     # Sketches join only the rows of keys that two nodes share.
     dealt = cells(nodes.select("node", F.explode("keys").alias("key")), "key", "node", cell_rows).select("cell", "node")
     met = dealt.join(nodes.select("node", "fp", "sketch"), "node").select("cell", "node", "fp", "sketch")
-    edges = stored(met.repartition("cell").sortWithinPartitions("cell")
-                   .mapInArrow(_search(STAGE_RADIUS, True), "a long, b long"), "near-links")
+    found = stored(met.repartition("cell").sortWithinPartitions("cell")
+                   .mapInArrow(_search(STAGE_RADIUS, verdict), "cell string, a long, b long"), "near-links")
+    release(docs.sparkSession)
+    exact = _settled(docs, nodes, found.where("b is null").select("cell", F.col("a").alias("node")))
+    edges = found.where("b is not null").select("a", "b").unionByName(exact)
     release(docs.sparkSession)
     group = components(edges, "a", "b")
     member = nodes.join(group, "node", "left").select("node", "low", F.coalesce("component", "node").alias("root"))
