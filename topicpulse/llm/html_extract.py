@@ -57,6 +57,8 @@ UNIT = 1000  # capacities are whole thousandths
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>", re.S)
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|aria-label|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s/]|$)")  # among the names, without values
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _ENDS = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)|\Z", re.I) for t in RAW}
 
@@ -145,7 +147,7 @@ def blocks(page: str) -> list[_Block]:
             seen += 1
             _, best, worst, _, silent = stack[-1]
             own = _name_weight(tag, m[3])
-            hidden = re.search(r"(?:^|\s)hidden(?=[\s/=]|$)", m[3]) is not None if "hidden" in m[3] else False
+            hidden = "hidden" in m[3] and _HIDDEN.search(_VALUE.sub(" ", m[3])) is not None
             stack.append((tag, max(best, own), worst + min(own, 0.0), seen, silent or hidden or tag in SILENT))
     for b in out:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
