@@ -30,3 +30,11 @@ FROM b
 """
 
 ORACLE = {"op4_quality_rules": QUALITY}
+
+EXACT = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM n GROUP BY t)
+SELECT n.doc_id, g.keep_id, g.group_size, coalesce(n.doc_id = g.keep_id, false) AS kept, sha256(n.t) AS text_sha256
+FROM n JOIN g ON n.t = g.t
+"""
+ORACLE["op12_exact_dedup"] = EXACT

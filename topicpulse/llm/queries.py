@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from topicpulse.llm import (bpe, fingerprints, html_extract, line_dedup, lm_score, near_dedup, packing, quality,
+from topicpulse.llm import (bpe, exact_dedup, fingerprints, html_extract, line_dedup, lm_score, near_dedup, packing, quality,
                             substring_dedup, token_counts)
 from topicpulse.llm.common import documents
 from topicpulse.llm.oracle import ORACLE
@@ -57,7 +57,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text")
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_html_extraction, op3_simhash_near_dedup, op4_quality_rules, op5_best_fit_packing, op6_token_counts,
-    op7_document_fingerprints, op8_substring_dedup, op9_lm_scoring, op10_line_dedup)}
+    op7_document_fingerprints, op8_substring_dedup, op9_lm_scoring, op10_line_dedup, op12_exact_dedup)}
 QUERIES["pipeline"] = corpus_pipeline.run
