@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from topicpulse.llm import (bpe, exact_dedup, fingerprints, periodic_runs, html_extract, line_dedup, lm_score, near_dedup, packing, quality,
+from topicpulse.llm import (bpe, exact_dedup, fingerprints, periodic_runs, prefix_trie, html_extract, line_dedup, lm_score, near_dedup, packing, quality,
                             substring_dedup, token_counts)
 from topicpulse.llm.common import documents
 from topicpulse.llm.oracle import ORACLE
@@ -90,7 +90,13 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(convs)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_html_extraction, op3_simhash_near_dedup, op4_quality_rules, op5_best_fit_packing, op6_token_counts,
-    op7_document_fingerprints, op8_substring_dedup, op9_lm_scoring, op10_line_dedup, op11_periodic_runs, op12_exact_dedup)}
+    op7_document_fingerprints, op8_substring_dedup, op9_lm_scoring, op10_line_dedup, op11_periodic_runs, op12_exact_dedup, op13_prefix_trie)}
 QUERIES["pipeline"] = corpus_pipeline.run
