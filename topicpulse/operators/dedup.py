@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicpulse.functions.dates import publication_time
+from topicpulse.operators import running
 from topicpulse.operators.similarity import POSTING_BLOCK, similar_groups, with_title_key
 from topicpulse.runtime import broadcast_if, cut_lineage
 
@@ -58,6 +59,18 @@ def _prune(rows: DataFrame, keys: list[str]) -> DataFrame:
     return marked.filter(keep)
 
 
+def _prune_wide(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``_prune`` over whole groups with running minima in ranges: no group is one task."""
+    marked = running.before(rows, keys, "ordem", "pub", prefix="_a")
+    marked = running.before(marked, keys, "ordem", "pub", descending=True, prefix="_d")
+    marked = (marked.withColumnRenamed("_amin", "_antes").withColumnRenamed("_an", "_n_antes")
+              .withColumnRenamed("_dmin", "_depois").drop("_dn"))
+    covered = F.coalesce((F.col("_antes") <= F.col("pub")) & (F.col("_depois") <= F.col("pub")),
+                         F.lit(False))
+    keep = F.when(F.col("pub").isNull(), F.col("_n_antes") == 0).otherwise(~covered)
+    return marked.filter(keep)
+
+
 def _meet(probes: DataFrame, sources: DataFrame, links: DataFrame) -> DataFrame:
     """Put probes and the source rows of each neighbour group side by side.
 
@@ -171,22 +184,29 @@ def _resolve(df: DataFrame, threshold: float, batch: str, order: str, date_mode:
     members = rows.join(groups, ["grupo", "lote"]).select(*_ROW, "ligado")
 
     sliced = members.withColumn("_f", F.pmod(F.xxhash64("ordem"), F.col("fatias")))
-    kept = _prune(_prune(sliced, ["grupo", "lote", "_f"]), ["grupo", "lote"])
-    head = _before("grupo", "lote", order=[F.asc("ordem")], rows=_UP_TO)
+    kept = cut_lineage(_prune_wide(_prune(sliced, ["grupo", "lote", "_f"]).drop("_antes", "_n_antes", "_depois"),
+                                   ["grupo", "lote"]))
+    # The first row of a group is never pruned; whether it is undated is a group aggregate.
+    starts = kept.groupBy("lote", "grupo").agg(
+        F.min_by(F.col("pub").isNull(), F.col("ordem")).alias("_inicio_sem_data"))
     # A group without similar groups is settled by its own earlier rows alone.
     alone = (F.col("_n_antes") == 0) | F.coalesce(
         ~F.col("_inicio_sem_data") & (F.col("_antes").isNull() | (F.col("pub") < F.col("_antes"))),
         F.lit(False))
-    kept = (kept.withColumn("_inicio_sem_data", F.first(F.col("pub").isNull()).over(head))
+    kept = (kept.join(starts, ["lote", "grupo"])
             .select(*_ROW, F.when(~F.col("ligado"), alone).alias("ativo")))
     kept = _resolve_links(cut_lineage(kept), links)
 
-    met = _meet(kept.filter("ativo"), kept, links)
+    # A later row of the same group that is strictly older: running minimum from the end, in ranges.
+    own = running.before(kept, ["lote", "grupo"], "ordem", "pub", descending=True, prefix="_l")
+    own_ok = own.filter(F.col("ativo") & ~F.coalesce(F.col("_lmin") < F.col("pub"), F.lit(False)))
+    # Later rows of similar groups: probes and sources side by side, group pairs only.
+    met = _meet(kept.filter("ativo"), kept, links.filter(F.col("de") != F.col("para")))
     w = _before(*_CELL, order=[F.desc("ordem"), F.asc("tipo")], rows=_UP_TO)
     oldest_later = F.min(F.when(F.col("tipo") == 1, F.col("pub"))).over(w)
     met = met.withColumn("_sai", F.coalesce(oldest_later < F.col("pub"), F.lit(False)))
-    survivors = (met.filter(F.col("tipo") == 0).groupBy("lote", F.col("de").alias("grupo"), "ordem")
-                 .agg(F.max("_sai").alias("_sai")).filter(~F.col("_sai")).drop("_sai"))
+    gone = met.filter((F.col("tipo") == 0) & F.col("_sai")).select("lote", F.col("de").alias("grupo"), "ordem")
+    survivors = own_ok.select("lote", "grupo", "ordem").join(gone, ["lote", "grupo", "ordem"], "left_anti")
     return _Resolution(members, kept, links, survivors)
 
 
