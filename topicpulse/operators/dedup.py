@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,9 @@ from topicpulse.runtime import broadcast_if, cut_lineage
 
 # Rows of one group that share a slice; larger groups are spread over several tasks.
 SLICE_ROWS = 50_000
+# Components of similar groups with at most this many undecided rows are settled in one ordered pass;
+# larger ones go through rounds.
+COMPONENT_ROWS = 20_000
 _ROW = ["lote", "grupo", "fatias", "ordem", "pub", "link"]
 
 
@@ -160,8 +165,81 @@ def _resolve_links(state: DataFrame, links: DataFrame) -> DataFrame:
     return settled.unionByName(state)
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(lote, grupo, comp) for every group on an edge (lote, de, para; both directions): ``comp`` is
+    the smallest group of its connected component. Minimum labels with pointer jumping, each round stored."""
+    edges = cut_lineage(edges.select("lote", "de", "para").distinct())
+    label = cut_lineage(edges.groupBy("lote", F.col("de").alias("grupo")).agg(
+        F.least(F.first("de"), F.min("para")).alias("comp")))
+    while True:
+        seen = (edges.join(label.select("lote", F.col("grupo").alias("para"), F.col("comp").alias("_c")),
+                           ["lote", "para"])
+                .groupBy("lote", F.col("de").alias("grupo")).agg(F.min("_c").alias("_m")))
+        step = label.join(seen, ["lote", "grupo"]).select("lote", "grupo", F.least("comp", "_m").alias("comp"))
+        jump = step.join(step.select("lote", F.col("grupo").alias("comp"), F.col("comp").alias("_cc")),
+                         ["lote", "comp"], "left").select("lote", "grupo", F.least("comp", F.coalesce("_cc", "comp"))
+                                                         .alias("comp"))
+        jump = cut_lineage(jump)
+        moved = jump.join(label.select("lote", "grupo", F.col("comp").alias("_old")), ["lote", "grupo"]).filter(
+            F.col("comp") != F.col("_old"))
+        label = jump
+        if moved.isEmpty():
+            return label
+
+
+def _one_pass(rows: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """The activity rule over one component, visited in arrival order.
+
+    An earlier active row i of the same or a similar group removes j unless both are dated and j is
+    strictly older; per group it is enough to know whether an active row is undated, whether one is
+    active at all, and the smallest date of its active rows.
+    """
+    if not len(rows):
+        return rows.assign(ativo=pd.Series([], dtype=bool))
+    near: dict = {}
+    for de, para in zip(edges["de"], edges["para"]):
+        near.setdefault(de, set()).add(para)
+    rows = rows.sort_values("ordem").reset_index(drop=True)
+    undated, active, oldest = set(), set(), {}
+    out = []
+    for g, pub in zip(rows["grupo"], rows["pub"]):
+        mine_undated = pub is None or pd.isna(pub)
+        killed = False
+        for h in near.get(g, set()) | {g}:
+            if h in undated or (h in active and (mine_undated or oldest.get(h) is not None and oldest[h] <= pub)):
+                killed = True
+                break
+        out.append(not killed)
+        if not killed:
+            active.add(g)
+            if mine_undated:
+                undated.add(g)
+            elif oldest.get(g) is None or pub < oldest[g]:
+                oldest[g] = pub
+    return rows.assign(ativo=out)
+
+
+def _resolve_components(kept: DataFrame, links: DataFrame, component_rows: int) -> DataFrame:
+    """Undecided rows by components of similar groups: small ones in one pass each, giant ones by rounds."""
+    settled = kept.filter(F.col("ativo").isNotNull())
+    open_rows = kept.filter(F.col("ativo").isNull())
+    edges = links.filter(F.col("de") != F.col("para"))
+    comps = components(edges)
+    tagged = open_rows.join(comps, ["lote", "grupo"])
+    sizes = tagged.groupBy("lote", "comp").agg((F.count(F.lit(1)) <= component_rows).alias("_small"))
+    tagged = cut_lineage(tagged.join(sizes, ["lote", "comp"]))
+    cols = [*_ROW, "ativo"]
+    schema = tagged.select(*cols).schema
+    small = tagged.filter("_small").select("comp", *cols).drop("ativo")
+    comp_edges = edges.join(comps.select("lote", F.col("grupo").alias("de"), "comp"), ["lote", "de"])
+    done = (small.groupBy("lote", "comp").cogroup(comp_edges.groupBy("lote", "comp"))
+            .applyInPandas(lambda r, e: _one_pass(r.drop(columns=["comp"]), e)[cols], schema))
+    giant = tagged.filter(~F.col("_small")).select(*cols)
+    return settled.unionByName(done).unionByName(_resolve_links(giant, links))
+
+
 def _resolve(df: DataFrame, threshold: float, batch: str, order: str, date_mode: str,
-             block: int, slice_rows: int) -> _Resolution:
+             block: int, slice_rows: int, component_rows: int = COMPONENT_ROWS) -> _Resolution:
     link = F.col("link") if "link" in df.columns else F.col(order).cast("string")
     # Titles, groups and members are derived from this narrow table; the texts are read once.
     rows = cut_lineage(with_title_key(df).select(
@@ -195,7 +273,7 @@ def _resolve(df: DataFrame, threshold: float, batch: str, order: str, date_mode:
         F.lit(False))
     kept = (kept.join(starts, ["lote", "grupo"])
             .select(*_ROW, F.when(~F.col("ligado"), alone).alias("ativo")))
-    kept = _resolve_links(cut_lineage(kept), links)
+    kept = cut_lineage(_resolve_components(cut_lineage(kept), links, component_rows))
 
     # A later row of the same group that is strictly older: running minimum from the end, in ranges.
     own = running.before(kept, ["lote", "grupo"], "ordem", "pub", descending=True, prefix="_l")
@@ -212,9 +290,10 @@ def _resolve(df: DataFrame, threshold: float, batch: str, order: str, date_mode:
 
 def dropped_rows(df: DataFrame, threshold: float = 0.75, batch: str = "data_coleta",
                  order: str = "ordem", date_mode: str = "timestamp",
-                 block: int = POSTING_BLOCK, slice_rows: int = SLICE_ROWS) -> DataFrame:
+                 block: int = POSTING_BLOCK, slice_rows: int = SLICE_ROWS,
+                 component_rows: int = COMPONENT_ROWS) -> DataFrame:
     """(batch, order) of the removed rows."""
-    r = _resolve(df, threshold, batch, order, date_mode, block, slice_rows)
+    r = _resolve(df, threshold, batch, order, date_mode, block, slice_rows, component_rows)
     return (r.members.select("lote", "grupo", "ordem")
             .join(r.survivors, ["grupo", "lote", "ordem"], "left_anti")
             .select(F.col("lote").alias(batch), F.col("ordem").alias(order)))
@@ -222,20 +301,22 @@ def dropped_rows(df: DataFrame, threshold: float = 0.75, batch: str = "data_cole
 
 def dedup_news(df: DataFrame, threshold: float = 0.75, batch: str = "data_coleta",
                order: str = "ordem", date_mode: str = "timestamp",
-               block: int = POSTING_BLOCK, slice_rows: int = SLICE_ROWS) -> DataFrame:
+               block: int = POSTING_BLOCK, slice_rows: int = SLICE_ROWS,
+               component_rows: int = COMPONENT_ROWS) -> DataFrame:
     """Rows left after removing near-duplicate titles within each batch.
 
     ``order`` is the arrival order, unique in a batch.
     """
-    gone = cut_lineage(dropped_rows(df, threshold, batch, order, date_mode, block, slice_rows))
+    gone = cut_lineage(dropped_rows(df, threshold, batch, order, date_mode, block, slice_rows, component_rows))
     return df.join(broadcast_if(gone, gone.count()), [order, batch], "left_anti")
 
 
 def dedup_audit(df: DataFrame, threshold: float = 0.75, batch: str = "data_coleta",
                 order: str = "ordem", date_mode: str = "timestamp",
-                block: int = POSTING_BLOCK, slice_rows: int = SLICE_ROWS) -> DataFrame:
+                block: int = POSTING_BLOCK, slice_rows: int = SLICE_ROWS,
+                component_rows: int = COMPONENT_ROWS) -> DataFrame:
     """All rows with ``duplicata`` and ``duplicata_de`` (link of the row that removed it)."""
-    r = _resolve(df, threshold, batch, order, date_mode, block, slice_rows)
+    r = _resolve(df, threshold, batch, order, date_mode, block, slice_rows, component_rows)
     live = r.kept.filter("ativo")
     gone = r.members.drop("ligado").join(r.survivors, ["grupo", "lote", "ordem"], "left_anti")
     killed = gone.join(live.select("lote", "grupo", "ordem"), ["grupo", "lote", "ordem"], "left_anti")
