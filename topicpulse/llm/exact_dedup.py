@@ -31,10 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicpulse.llm.common import stored
-from topicpulse.runtime import broadcast_if
 
 # Distinct digests per filter shard; a shard's filter is about 1.13 bytes a digest.
 SHARD_KEYS = 1 << 20
+# Digest tables (about 100 bytes a row) are broadcast up to this many rows (about 10 MB); larger ones
+# are joined by shuffle, where adaptive execution splits the partition of a hot digest.
+BROADCAST_DIGESTS = 100_000
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_DIGESTS else df
 _SPACE = r"[\x20\x09-\x0D]+"
 _M64 = (1 << 64) - 1
 
@@ -188,12 +194,12 @@ def groups(snapshot: DataFrame, batch: DataFrame, shard_keys: int = SHARD_KEYS)
     n_maybe = maybe.count()
     # Byte check of the positives: one text of each side (partial aggregation keeps one a task).
     def one_text(side: DataFrame, name: str) -> DataFrame:
-        return side.join(broadcast_if(maybe, n_maybe), "_sha").groupBy("_sha").agg(F.first("_norm").alias(name))
+        return side.join(_small(maybe, n_maybe), "_sha").groupBy("_sha").agg(F.first("_norm").alias(name))
     checked = (maybe.join(snap.select("_sha", F.col("_keep").alias("_s_keep"), F.col("_n").alias("_s_n")), "_sha")
                .join(one_text(snapshot, "_s_t"), "_sha").join(one_text(batch, "_b_t"), "_sha")
                .where(F.col("_s_t") == F.col("_b_t")).select("_sha", "_s_keep", "_s_n"))
     checked = stored(checked, "exact-checked")
-    merged = (new.join(broadcast_if(checked, n_maybe), "_sha", "left")
+    merged = (new.join(_small(checked, n_maybe), "_sha", "left")
               .select("_sha", F.coalesce("_s_keep", "_keep").alias("keep_id"),
                       (F.col("_n") + F.coalesce("_s_n", F.lit(0))).alias("group_size")))
     old = snap.join(checked.select("_sha", F.lit(True).alias("_seen")), "_sha", "left_anti")
@@ -216,6 +222,6 @@ def exact_duplicates(docs: DataFrame, snapshot_fraction: float = 0.5, shard_keys
     g = groups(d.where(is_snap), d.where(~is_snap), shard_keys)
     n_groups = g.count()
     g = stored(g, "exact-groups")
-    out = d.join(broadcast_if(g, n_groups), "_sha")
+    out = d.join(_small(g, n_groups), "_sha")
     return (out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)))
             .withColumn("text_sha256", F.col("_sha")).drop("_norm", "_sha", "_key"))
