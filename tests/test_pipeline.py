@@ -180,3 +180,17 @@ def test_phrase_with_null_column(spark):
     terms = spark.createDataFrame([("time",), ("do time",)], "termo string")
     found = any_term_matches(articles, terms, ["ordem", "fonte"])
     assert {r["termo"] for r in found.collect()} == {"time", "do time"}
+
+
+def test_items_behind_a_broken_one_are_read(spark, tmp_path):
+    folder = tmp_path / "fonte=a" / "data_coleta=2026-07-20"
+    folder.mkdir(parents=True)
+    (folder / "mid.xml").write_text("<rss><channel><title>c</title><item><title>um</title></item>"
+                                    "<item><title>dois</item><item><title>três</title><link>l3</link></item>"
+                                    "<itemize/><item>\n<title>quatro</title></item></channel></rss>", encoding="utf-8")
+    items = feeds.read_feed_items(spark, str(tmp_path))
+    got = sorted((r["item"], r["title"], feeds.BROKEN in r and r[feeds.BROKEN] is not None) for r in items.collect())
+    assert [(i, t) for i, t, _ in got] == [(0, "um"), (1, None), (2, "três"), (3, "quatro")]
+    assert got[1][2] and not got[0][2]
+    report = feeds.feed_failures(spark, str(tmp_path)).collect()
+    assert [tuple(r)[3:] for r in report] == [(3, 0, 1, False)]

@@ -2,14 +2,17 @@
 
 Files lie under ``landing/fonte=<name>/data_coleta=<day>/``, so the source and the run date are
 partition columns: a source without files gives no rows and reading one day opens only its files.
-A broken or unreadable file doesn't fail the run; :func:`feed_failures` tells what could not be read.
+Files are cut at item ends and every item is parsed on its own, so a broken item costs itself only:
+the items behind it are read. :func:`feed_failures` counts broken items per file. Each item carries
+its file (``arquivo``) and its number in the file (``item``, from 0), its arrival position.
+An item end written inside a CDATA section would cut that item.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,9 +40,26 @@ def feed_options(kind: str = "rss") -> dict[str, str]:
 
 
 def read_feed_items(spark: SparkSession, landing: str, kind: str = "rss") -> DataFrame:
-    """Good and broken items, the latter with ``BROKEN`` set."""
-    return (spark.read.format("xml").options(**feed_options(kind)).schema(feed_schema(kind))
-            .load(landing))
+    """Good and broken items, the latter with ``BROKEN`` set (its text), plus ``arquivo`` and ``item``.
+
+    The files are read as text cut after every item end (splittable, no file in one piece); the
+    piece from the last opening tag on is parsed as one item with its own corrupt-record column.
+    """
+    tag = _ROW_TAG[kind] if kind in _ROW_TAG else feed_options(kind)["rowTag"]
+    chunks = (spark.read.option("lineSep", f"</{tag}>").option("ignoreCorruptFiles", "true")
+              .option("ignoreMissingFiles", "true")
+              .schema(T.StructType([T.StructField("value", T.StringType()), *_PARTITIONS])).text(landing)
+              .select("value", "fonte", "data_coleta", F.col("_metadata.file_path").alias("arquivo"),
+                      F.col("_metadata.file_block_start").alias("_bloco"),
+                      F.monotonically_increasing_id().alias("_seq")))
+    body = F.regexp_extract("value", rf"(?s).*(<{tag}[\s>].*)$", 1)
+    item_schema = T.StructType([f for f in feed_schema(kind).fields if f.name not in ("fonte", "data_coleta")])
+    parsed = F.from_xml(F.concat(body, F.lit(f"</{tag}>")), item_schema,
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    items = chunks.where(body != "").select(parsed.alias("_i"), "fonte", "data_coleta", "arquivo", "_bloco", "_seq")
+    in_file = Window.partitionBy("arquivo").orderBy("_bloco", "_seq")
+    return items.select("_i.*", "fonte", "data_coleta", "arquivo",
+                        (F.row_number().over(in_file) - 1).cast("long").alias("item"))
 
 
 def is_broken() -> Column:
@@ -50,16 +70,17 @@ def is_broken() -> Column:
 def feed_failures(spark: SparkSession, landing: str, kind: str = "rss") -> DataFrame:
     """One row per landed file: (fonte, data_coleta, arquivo, itens, sem_titulo, quebrados, sem_itens).
 
-    ``quebrados`` is 1 for a file whose rest could not be read, ``sem_itens`` tells that it gave nothing at
-    all: empty, unreadable or of another kind. Files are listed without opening them.
+    ``quebrados`` counts its broken items (the others are read), ``sem_itens`` tells that it gave no good
+    item at all: empty, unreadable or of another kind. Files are listed without opening them.
     """
-    file = F.col("_metadata.file_path").alias("arquivo")
+    file = F.col("arquivo")
     broken = is_broken()
     counts = {"itens": ~broken, "sem_titulo": ~broken & F.col("title").isNull(), "quebrados": broken}
     read = (read_feed_items(spark, landing, kind).groupBy(file)
             .agg(*[F.count_if(c).alias(name) for name, c in counts.items()]))
     files = (spark.read.format("binaryFile").load(landing)
-             .select(*[F.col(p.name).cast("string").alias(p.name) for p in _PARTITIONS], file))
+             .select(*[F.col(p.name).cast("string").alias(p.name) for p in _PARTITIONS],
+                     F.col("_metadata.file_path").alias("arquivo")))
     return (files.join(read, "arquivo", "left").na.fill(0, list(counts))
             .select("fonte", "data_coleta", "arquivo", *counts, (F.col("itens") == 0).alias("sem_itens")))
 
