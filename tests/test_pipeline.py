@@ -194,3 +194,13 @@ def test_items_behind_a_broken_one_are_read(spark, tmp_path):
     assert got[1][2] and not got[0][2]
     report = feeds.feed_failures(spark, str(tmp_path)).collect()
     assert [tuple(r)[3:] for r in report] == [(3, 0, 1, False)]
+
+
+def test_source_report_shows_configured_sources_without_files(spark, tmp_path):
+    land(tmp_path, "a", "2026-07-20", "f.xml", [("Um", "um", "http://x/1"), ("Dois", "dois", "http://x/2")])
+    land(tmp_path, "a", "2026-07-21", "f.xml", [("Três", "três", "http://x/3")])
+    land(tmp_path, "extra", "2026-07-20", "f.xml", [("Quatro", "q", "http://z/4")])
+    report = feeds.source_report(spark, str(tmp_path), [("b", "feeds/b.xml"), ("a", "feeds/a.xml")])
+    got = {r["fonte"]: tuple(r)[1:] for r in report.collect()}
+    assert got == {"a": (1, "feeds/a.xml", 2, 2, 3, 0, True), "b": (0, "feeds/b.xml", 0, 0, 0, 0, True),
+                   "extra": (None, None, 1, 1, 1, 0, False)}

@@ -377,6 +377,12 @@ LEFT JOIN (SELECT data_coleta, count(*) AS unicas FROM unicas GROUP BY 1) USING
     "feed_failures": "WITH" + _NEWS + f"""
 SELECT fonte, data_coleta, count(*) + any_value(q) AS itens, any_value(q) AS quebrados, CAST(0 AS BIGINT) AS sem_itens
 FROM (SELECT *, CAST(CASE WHEN data_coleta LIKE '%{BROKEN_DAYS}' THEN 1 ELSE 0 END AS BIGINT) AS q FROM news) GROUP BY fonte, data_coleta""",
+    "source_report": "WITH" + _NEWS + """,
+cfg AS (SELECT k // 2 AS ordem_config, 'src' || k AS fonte, 'feeds/src' || k || '.xml' AS url FROM range(0, 40, 2) t(k)),
+landed AS (SELECT fonte, count(DISTINCT data_coleta) AS dias, count(*) AS itens FROM news GROUP BY fonte)
+SELECT fonte, ordem_config, url, coalesce(dias, 0) AS dias, coalesce(itens, 0) AS itens, CAST(0 AS BIGINT) AS quebrados,
+       ordem_config IS NOT NULL AS configurada
+FROM cfg FULL JOIN landed USING (fonte)""",
     "run_summary": _RUN + """
 SELECT data, total_noticias, total_termos
 FROM (SELECT data, count(*) AS total_noticias FROM pontuadas GROUP BY data)

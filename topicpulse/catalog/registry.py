@@ -231,6 +231,15 @@ def feed_failures(spark, sf):
         F.sum("itens").alias("itens"), F.sum("quebrados").alias("quebrados"), F.count_if("sem_itens").alias("sem_itens"))
 
 
+# Settings of the source report: every second source name, half of them without any landed file.
+REPORTED_SOURCES = tuple((f"src{k}", f"feeds/src{k}.xml") for k in range(0, 40, 2))
+
+
+def source_report(spark, sf):
+    """Configured sources against the landed files: a configured source without files shows with zeros."""
+    return feeds.source_report(spark, _land_feeds(spark, sf), REPORTED_SOURCES).drop("arquivos")
+
+
 def _all_days() -> list[str]:
     return [dates.shift_day(views.FIRST_DAY, i) for i in range(views.BATCH_DAYS)]
 
@@ -364,6 +373,7 @@ QUERIES: dict[str, Query] = {
     "source_counts": source_counts,
     "run_counts": run_counts,
     "feed_items": feed_items,
+    "source_report": source_report,
     "atom_items": atom_items,
     "feed_failures": feed_failures,
     "run_summary": run_summary,

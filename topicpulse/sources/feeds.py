@@ -85,6 +85,25 @@ def feed_failures(spark: SparkSession, landing: str, kind: str = "rss") -> DataF
             .select("fonte", "data_coleta", "arquivo", *counts, (F.col("itens") == 0).alias("sem_itens")))
 
 
+def source_report(spark: SparkSession, landing: str, sources: Sequence[tuple[str, str]],
+                  kind: str = "rss") -> DataFrame:
+    """Configured sources against the landed files, one row per source named on either side:
+    (fonte, ordem_config, url, dias, arquivos, itens, quebrados, configurada).
+
+    A configured source without files shows with zeros; a landed source that is not configured has
+    no ``ordem_config`` and ``configurada`` false. ``ordem_config`` is the position in the settings.
+    """
+    configured = spark.createDataFrame([(i, name, url) for i, (name, url) in enumerate(sources)],
+                                       "ordem_config long, fonte string, url string")
+    landed = feed_failures(spark, landing, kind).groupBy("fonte").agg(
+        F.count_distinct("data_coleta").alias("dias"), F.count(F.lit(1)).alias("arquivos"),
+        F.sum("itens").alias("itens"), F.sum("quebrados").alias("quebrados"))
+    counts = ["dias", "arquivos", "itens", "quebrados"]
+    return (F.broadcast(configured).join(landed, "fonte", "full")
+            .select("fonte", "ordem_config", "url", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+                    F.col("ordem_config").isNotNull().alias("configurada")))
+
+
 def project_feed(items: DataFrame) -> DataFrame:
     """Good items to bronze columns: absent values become "", tags leave the summary."""
     def text(*cols: Column) -> Column:
