@@ -323,4 +323,4 @@ def test_empty_tables_clashing_columns_and_repeated_rows(spark, empty, docs):
 
 def test_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in contract.queries()
