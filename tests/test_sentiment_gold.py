@@ -20,13 +20,13 @@ def test_model_scorer(spark):
     known = dict(KNOWN)
 
     def factory():
-        default = ("NEU", {"NEU": 0.6, "POS": 0.2, "NEG": 0.2})
-        return lambda texts: [known.get(t.lower().strip(), default) for t in texts]
+        unknown = ("NEG", {"NEG": 0.45, "POS": 0.25, "NEU": 0.30})
+        return lambda texts: [known[t] if t in known else unknown for t in texts]
 
     df = spark.createDataFrame([(t,) for t in [*KNOWN, None]], "texto_completo string")
     out = compute_sentiment(df, model_scorer(factory))
     assert out.columns == ["texto_completo", "sentimento_label", "sentimento_score"]
-    assert {r[1:] for r in rows(out)} == {("POS", 0.88), ("NEG", 0.71), ("NEU", 0.77), ("NEU", 0.6)}
+    assert {r[1:] for r in rows(out)} == {("POS", 0.88), ("NEG", 0.71), ("NEU", 0.77), ("NEG", 0.45)}
 
 
 def test_lexicon_and_prediction_scorers(spark):

@@ -18,20 +18,32 @@ DAYS = "data string, termo string, frequencia long"
 def test_emergence_without_history(spark, tmp_path):
     base = baseline(read_gold_topics(spark, str(tmp_path / "none")), 14, "2026-07-20")
     assert base.columns == BASELINE.names and base.isEmpty()
-    out = emergence(spark.createDataFrame([("chuva", 10), ("vento", 5)], TODAY), base, 2.0)
-    assert sorted(rows(out.select("termo", "z_score", "emergente"))) == [
-        ("chuva", 10.0, None), ("vento", 5.0, None)]
+    counts = [(f"termo{k}", 3 * k + 2) for k in range(6)]
+    out = emergence(spark.createDataFrame(counts, TODAY), base, 2.0)
+    # Without a baseline the score is the day's count and the flag is unknown.
+    assert sorted(rows(out.select("termo", "z_score", "emergente"))) == sorted(
+        (t, float(c), None) for t, c in counts)
 
 
 def test_emergence_with_history(spark):
-    base = spark.createDataFrame([("chuva", 10.0, 5.0), ("vento", 10.0, 5.0), ("raro", 1.0, None)], BASELINE)
-    today = spark.createDataFrame([("chuva", 50), ("vento", 5), ("raro", 9), ("novo", 100)], TODAY)
-    got = {r["termo"]: r for r in emergence(today, base, 2.0).collect()}
-    assert got["chuva"]["emergente"] is True and got["chuva"]["z_score"] > 2
-    assert got["vento"]["emergente"] is False and got["vento"]["z_score"] < 2
-    # One day of history has no deviation: no score, and not emerging.
-    assert got["raro"]["z_score"] is None and got["raro"]["emergente"] is False
-    assert got["novo"]["z_score"] == 100.0 and got["novo"]["emergente"] is None
+    """Scores against days of history computed here from their counts; one day has no deviation."""
+    history = {"geada": [4, 6, 5, 9], "seca": [20, 22, 21], "orvalho": [3], "brisa": [7, 7, 7]}
+    today = {"geada": 15, "seca": 22, "orvalho": 40, "brisa": 7, "tufao": 12}
+    days = [(f"2024-03-{i + 1:02d}", t, c) for t, cs in history.items() for i, c in enumerate(cs)]
+    base = baseline(spark.createDataFrame(days, DAYS), 14, "2024-03-10")
+    got = {r["termo"]: r for r in emergence(spark.createDataFrame(list(today.items()), TODAY), base, 1.5).collect()}
+    for term, c in today.items():
+        seen = history.get(term)
+        if seen is None:
+            assert got[term]["z_score"] == float(c) and got[term]["emergente"] is None
+        elif len(seen) == 1:
+            assert got[term]["z_score"] is None and got[term]["emergente"] is False
+        else:
+            mean = sum(seen) / len(seen)
+            std = math.sqrt(sum((x - mean) ** 2 for x in seen) / (len(seen) - 1))
+            z = (c - mean) / (std + 1e-6)
+            assert got[term]["z_score"] == pytest.approx(z) and got[term]["emergente"] == (z >= 1.5)
+    assert got["geada"]["emergente"] and not got["seca"]["emergente"] and not got["brisa"]["emergente"]
 
 
 def test_backfill_equals_the_daily_loop(spark):
