@@ -46,3 +46,20 @@ def test_branching_titles_in_one_pass(spark, monkeypatch):
     assert kept == {o for o, link in sequential(rows, 0.7).items() if link is None}
     assert not rounds
     print(f"200 branching titles: {took:.1f} s")
+
+
+def test_candidates_come_once(spark):
+    """Many distinct titles sharing words: each candidate pair is emitted once, at its rarest shared term."""
+    from pyspark.sql import functions as F
+
+    from topicpulse.operators.similarity import _candidates, title_groups, title_vectors, with_title_key
+
+    words = [f"palavra{k}" for k in range(12)]
+    rows = [("d", i, " ".join(words[(i * j) % 12] for j in range(1, 5)) + f" extra{i % 7}", "", f"l{i}")
+            for i in range(300)]
+    keyed = with_title_key(spark.createDataFrame(rows, SCHEMA))
+    sizes = keyed.groupBy("data_coleta").agg(F.count(F.lit(1)).alias("_n"))
+    vectors = title_vectors(title_groups(keyed, "data_coleta"), sizes, "data_coleta", 1).cache()
+    for block in (20_000, 4):
+        pairs = _candidates(vectors, "data_coleta", 0.5, block)
+        assert pairs.count() == pairs.distinct().count() > 0

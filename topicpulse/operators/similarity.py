@@ -34,7 +34,7 @@ def title_vectors(groups: DataFrame, sizes: DataFrame, batch: str, n_batches: in
     """Normalised TF-IDF weight per (group, term), with the norm from that term onwards.
 
     Terms of a group are ordered by rising document frequency. ``resto`` is the norm after
-    the term, ``cauda`` the squared norm from the term (inclusive).
+    the term, ``cauda`` the squared norm from the term (inclusive), ``antes`` the terms before it.
     """
     terms = (groups.select(batch, "grupo", "copias", F.explode(F.split("chave", " ")).alias("termo"))
              .groupBy(batch, "grupo", "termo")
@@ -48,9 +48,11 @@ def title_vectors(groups: DataFrame, sizes: DataFrame, batch: str, n_batches: in
     every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     square = F.col("w") * F.col("w")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     return (raw.withColumn("total", F.sum(square).over(every))
             .withColumn("ate", F.sum(square).over(until))
-            .select(batch, "grupo", "termo", (F.col("w") / F.sqrt("total")).alias("peso"),
+            .withColumn("antes", F.collect_list("termo").over(before))
+            .select(batch, "grupo", "termo", "antes", (F.col("w") / F.sqrt("total")).alias("peso"),
                     (1 - (F.col("ate") - square) / F.col("total")).alias("cauda"),
                     F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("ate") / F.col("total"))).alias("resto")))
 
@@ -60,17 +62,19 @@ def _candidates(vectors: DataFrame, batch: str, threshold: float, block: int) ->
 
     The rarest shared term of such a pair lies in the prefix of both (what follows the
     prefix has norm below the threshold), and weight product plus remaining norms bounds
-    the cosine, so nothing is lost.
+    the cosine, so nothing is lost. A pair is emitted only at that term, where the terms
+    before it in the two groups have nothing in common, so each pair comes once and no
+    distinct over all candidates is needed.
     """
     prefix = (vectors.filter(F.col("cauda") >= threshold * threshold - GUARD)
-              .select(batch, "termo", "grupo", "peso", "resto"))
+              .select(batch, "termo", "grupo", "peso", "resto", "antes"))
     hot = (prefix.groupBy(batch, "termo").agg(F.count(F.lit(1)).alias("_tam"))
            .filter(F.col("_tam") > block)
            .select(batch, "termo", F.ceil(F.col("_tam") / block).cast("int").alias("_k")))
     placed = (prefix.join(hot, ["termo", batch], "left")
               .withColumn("_k", F.coalesce("_k", F.lit(1)))
               .withColumn("_b", F.pmod(F.xxhash64("grupo"), F.col("_k")).cast("int")))
-    side = ["grupo", "peso", "resto", "_b"]
+    side = ["grupo", "peso", "resto", "antes", "_b"]
     left = placed.select(batch, "termo", *[F.col(c).alias(f"{c}_i") for c in side],
                          F.explode(F.sequence("_b", F.col("_k") - 1)).alias("_b_j"))
     right = placed.select(batch, "termo", *[F.col(c).alias(f"{c}_j") for c in side],
@@ -78,9 +82,10 @@ def _candidates(vectors: DataFrame, batch: str, threshold: float, block: int) ->
     pairs = left.join(right, ["termo", batch, "_b_i", "_b_j"]).filter(
         ((F.col("_b_i") < F.col("_b_j")) | (F.col("grupo_i") < F.col("grupo_j")))
         & (F.col("peso_i") * F.col("peso_j") + F.col("resto_i") * F.col("resto_j")
-           >= threshold - GUARD))
-    return (pairs.select(batch, F.least("grupo_i", "grupo_j").alias("grupo_i"),
-                         F.greatest("grupo_i", "grupo_j").alias("grupo_j")).distinct())
+           >= threshold - GUARD)
+        & ~F.arrays_overlap("antes_i", "antes_j"))
+    return pairs.select(batch, F.least("grupo_i", "grupo_j").alias("grupo_i"),
+                        F.greatest("grupo_i", "grupo_j").alias("grupo_j"))
 
 
 def similar_groups(keyed: DataFrame, batch: str, threshold: float,
