@@ -204,3 +204,14 @@ def test_source_report_shows_configured_sources_without_files(spark, tmp_path):
     got = {r["fonte"]: tuple(r)[1:] for r in report.collect()}
     assert got == {"a": (1, "feeds/a.xml", 2, 2, 3, 0, True), "b": (0, "feeds/b.xml", 0, 0, 0, 0, True),
                    "extra": (None, None, 1, 1, 1, 0, False)}
+
+
+def test_stream_reads_items_behind_a_broken_one(spark, tmp_path):
+    folder = tmp_path / "landing" / "fonte=a" / "data_coleta=2026-07-20"
+    folder.mkdir(parents=True)
+    (folder / "mid.xml").write_text("<rss><channel><item><title>um</title></item><item><title>dois</item>"
+                                    "<item><title>três</title></item></channel></rss>", encoding="utf-8")
+    query = (feed_stream(spark, str(tmp_path / "landing")).writeStream.format("memory").queryName("itens_stream")
+             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert sorted(r["titulo"] for r in spark.table("itens_stream").collect()) == ["três", "um"]

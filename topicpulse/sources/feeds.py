@@ -39,27 +39,38 @@ def feed_options(kind: str = "rss") -> dict[str, str]:
             "ignoreMissingFiles": "true", "columnNameOfCorruptRecord": BROKEN}
 
 
-def read_feed_items(spark: SparkSession, landing: str, kind: str = "rss") -> DataFrame:
-    """Good and broken items, the latter with ``BROKEN`` set (its text), plus ``arquivo`` and ``item``.
+def _chunks(reader, kind: str):
+    """A file reader (batch or stream) set to cut files after every item end."""
+    tag = _ROW_TAG[kind] if kind in _ROW_TAG else feed_options(kind)["rowTag"]
+    return (reader.option("lineSep", f"</{tag}>").option("ignoreCorruptFiles", "true")
+            .option("ignoreMissingFiles", "true")
+            .schema(T.StructType([T.StructField("value", T.StringType()), *_PARTITIONS])))
 
-    The files are read as text cut after every item end (splittable, no file in one piece); the
-    piece from the last opening tag on is parsed as one item with its own corrupt-record column.
-    """
+
+def parse_items(chunks: DataFrame, kind: str = "rss", keep: Sequence[str] = ()) -> DataFrame:
+    """Text pieces cut after item ends (``value``) to items: the piece from its last opening tag on is
+    parsed as one item with its own corrupt-record column; pieces without an item are left out."""
     tag = _ROW_TAG[kind] if kind in _ROW_TAG else feed_options(kind)["rowTag"]
-    chunks = (spark.read.option("lineSep", f"</{tag}>").option("ignoreCorruptFiles", "true")
-              .option("ignoreMissingFiles", "true")
-              .schema(T.StructType([T.StructField("value", T.StringType()), *_PARTITIONS])).text(landing)
-              .select("value", "fonte", "data_coleta", F.col("_metadata.file_path").alias("arquivo"),
-                      F.col("_metadata.file_block_start").alias("_bloco"),
-                      F.monotonically_increasing_id().alias("_seq")))
     body = F.regexp_extract("value", rf"(?s).*(<{tag}[\s>].*)$", 1)
     item_schema = T.StructType([f for f in feed_schema(kind).fields if f.name not in ("fonte", "data_coleta")])
     parsed = F.from_xml(F.concat(body, F.lit(f"</{tag}>")), item_schema,
                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
-    items = chunks.where(body != "").select(parsed.alias("_i"), "fonte", "data_coleta", "arquivo", "_bloco", "_seq")
+    return chunks.where(body != "").select(parsed.alias("_i"), "fonte", "data_coleta", *keep).select(
+        "_i.*", "fonte", "data_coleta", *keep)
+
+
+def read_feed_items(spark: SparkSession, landing: str, kind: str = "rss") -> DataFrame:
+    """Good and broken items, the latter with ``BROKEN`` set (its text), plus ``arquivo`` and ``item``.
+
+    The files are read as text cut after every item end (splittable, no file in one piece); the
+    piece from the last opening tag on is parsed as one item with its own corrupt-record column.
+    """
+    chunks = _chunks(spark.read, kind).text(landing).select(
+        "value", "fonte", "data_coleta", F.col("_metadata.file_path").alias("arquivo"),
+        F.col("_metadata.file_block_start").alias("_bloco"), F.monotonically_increasing_id().alias("_seq"))
+    items = parse_items(chunks, kind, ["arquivo", "_bloco", "_seq"])
     in_file = Window.partitionBy("arquivo").orderBy("_bloco", "_seq")
-    return items.select("_i.*", "fonte", "data_coleta", "arquivo",
-                        (F.row_number().over(in_file) - 1).cast("long").alias("item"))
+    return items.withColumn("item", (F.row_number().over(in_file) - 1).cast("long")).drop("_bloco", "_seq")
 
 
 def is_broken() -> Column:

@@ -10,17 +10,18 @@ from topicpulse.functions.dates import shift_day
 from topicpulse.operators.sentiment import Scorer
 from topicpulse.plans.daily import Layout, rescore_days, run_days
 from topicpulse.schemas import BRONZE
-from topicpulse.sources.feeds import feed_options, feed_schema, project_feed
+from topicpulse.sources.feeds import _chunks, parse_items, project_feed
 from topicpulse.sources.tables import append_bronze, read_or_empty
 
 
 def feed_stream(spark: SparkSession, landing: str, kind: str = "rss",
                 files_per_batch: int | None = None) -> DataFrame:
-    """Streaming bronze rows from the landing folder."""
-    reader = spark.readStream.format("xml").options(**feed_options(kind)).schema(feed_schema(kind))
+    """Streaming bronze rows from the landing folder; files are cut at item ends and every item is
+    parsed on its own, as in the batch reader, so a broken item costs only itself."""
+    reader = _chunks(spark.readStream, kind)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return project_feed(reader.load(landing))
+    return project_feed(parse_items(reader.text(landing), kind))
 
 
 def _with_key(df: DataFrame) -> DataFrame:
