@@ -95,3 +95,27 @@ def test_gold_tables(spark):
     got = {(r["data"], r["tema"]): r for r in g2.collect()}
     assert got["d", "política"]["sentimento_medio"] == pytest.approx(0.85)  # unsigned
     assert got["d", "política"]["pct_negativo"] == 0.5 and got["d", "esporte"]["qtd_noticias"] == 2
+
+
+def test_matches_by_blocks(spark, monkeypatch):
+    """Many blocks and buckets, a word and a term longer than a window: as a plain search, and no row per
+    (article, word, term) is shuffled: the search ends in one row per article."""
+    from topicpulse.operators import containment
+
+    monkeypatch.setattr(containment, "BLOCK_CHARS", 300)
+    monkeypatch.setattr(containment, "BUCKET_CHARS", 200)
+    monkeypatch.setattr(containment, "STEP_PAIRS", 7)
+    long = "abcdefghij" * 5
+    texts = [f"casa{i % 7} {long[i % 11:]} Casamento do Time {i % 3} ção aba{'ba' * (i % 5)}" for i in range(60)]
+    terms = ["casa", "cas", "ment", long, long[3:40], long[:26] + "zz", "ção", "bab", "ababa", "ime"]
+    phrases = [*terms, "do time", "time 1", "o t", "a"]
+    rows_in = [("x" if i % 2 else "y", i, t) for i, t in enumerate(texts)]
+    articles = spark.createDataFrame([*rows_in, (None, 99, "casa")], "data string, id long, texto_completo string")
+    for match, wanted in ((term_matches, terms), (any_term_matches, phrases)):
+        table = spark.createDataFrame([(d, t) for d in "xy" for t in wanted], "data string, termo string")
+        got = [tuple(r) for r in match(articles, table, ["id"], ["data"]).collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == {(d, i, t) for d, i, text in rows_in for t in wanted if t in text.lower()}
+    out = term_matches(articles, table.filter("length(termo) > 2 and not contains(termo, ' ')"), ["id"], ["data"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "SortMergeJoin" not in plan and plan.count("FlatMapCoGroupsInArrow") >= 2

@@ -83,7 +83,7 @@ def run_days(spark: SparkSession, base: str, days: Iterable[str], config: Config
     emerging = term_history(freq, read_gold_topics(spark, at.topics), days, config)
     weights = tfidf(silver, "ordem", by=["data"], min_corpus=config.min_corpus,
                     max_features=config.max_features, n_batches=len(days))
-    sentiment = term_sentiment(silver, freq, n_terms=freq.count())
+    sentiment = term_sentiment(silver, freq)
     topics = upsert_gold(gold_topics(emerging, weights, sentiment, config.themes), at.topics, days)
     themes = upsert_gold(gold_themes(silver, config.themes), at.themes, days)
 
