@@ -118,21 +118,20 @@ def cut(t, spans):
 
 
 class Ppm:
-    """Word counts first, then bytes with escapes (method C) and exclusion."""
+    """Whole texts as bytes with escapes (method C) and exclusion; contexts reach over words."""
 
     def __init__(self, texts, order):
         self.order, self.c = order, Counter()
+        self.follow = defaultdict(Counter)
         for t in texts:
             self.c.update([*words(lower(t or "")), "\n"])
-        self.follow = defaultdict(Counter)
-        for w in self.c:
-            for ctx, s in self.spelled(w):
+            for ctx, s in self.spelled(t):
                 for k in range(order + 1):
                     self.follow[k, ctx[order - k:]][s] += 1
         self.n, self.v = sum(self.c.values()), len(self.c)
 
-    def spelled(self, w):
-        raw = b" " * self.order + w.encode() + (b"" if w == "\n" else b" ")
+    def spelled(self, t):
+        raw = b" " * self.order + "".join(w + " " for w in words(lower(t or ""))).encode() + b"\n"
         return [(raw[i:i + self.order], raw[i + self.order]) for i in range(len(raw) - self.order)]
 
     def byte(self, ctx, s):
@@ -148,13 +147,7 @@ class Ppm:
         return out + math.log10(1 / (256 - len(seen)))
 
     def score(self, t):
-        out = 0.0
-        for w in [*words(lower(t or "")), "\n"]:
-            if self.c[w]:
-                out += math.log10(self.c[w] / (self.n + self.v))
-            else:
-                out += (math.log10(self.v / (self.n + self.v)) if self.n else 0) + sum(self.byte(*x) for x in self.spelled(w))
-        return out
+        return sum(self.byte(*x) for x in self.spelled(t))
 
     def base(self, t):
         return sum(math.log10((self.c[w] + 1) / (self.n + self.v + 1)) for w in [*words(lower(t or "")), "\n"])

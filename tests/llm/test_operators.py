@@ -324,3 +324,15 @@ def test_empty_tables_clashing_columns_and_repeated_rows(spark, empty, docs):
 def test_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in contract.queries()
+
+
+def test_scores_use_contexts_over_words_and_occurrences(spark):
+    """All words below are known and equally frequent, so a score by word counts could not tell the orders apart."""
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rows = [(i, "casa azul mar verde") for i in range(200) if i not in held and zlib.crc32(str(i).encode()) % 7 != 2]
+    docs = spark.createDataFrame([*rows, (held[0], "casa azul mar verde"), (held[1], "verde mar azul casa")],
+                                 "doc_id long, text string")
+    got = by_id(lm_score.scored(docs))
+    assert got[held[0]]["base_score"] == pytest.approx(got[held[1]]["base_score"])
+    assert got[held[0]]["score"] > got[held[1]]["score"] + 2
+    assert got[held[0]]["score"] > -1  # seen often: nearly certain

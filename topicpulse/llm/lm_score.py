@@ -1,19 +1,19 @@
 """Language-model scores by prediction with partial matching over bytes.
 
-A text is read as its words (lower-cased A-Z), each ended by a blank, and one end mark. The trie starts anew
-with every word. Its deepest context is the whole word: a word of the training texts is coded there, by
-its count. Else an escape is coded and the word is spelled: a byte's context are the up to ``ORDER`` bytes
-before it, back to the start of the word (before it: blanks), with counts of how many distinct training
-words have it. A byte is coded in the longest context that has it; where it is new, an escape is coded
-(method C: distinct followers over their sum with all occurrences) and the next shorter context is asked,
-in which the bytes already seen in the longer one are excluded; below order 0 all bytes not yet excluded are
-equally likely. The score of a text is the sum of the log10 probabilities, by the training texts alone.
-
-The cost of a word does not depend on its neighbours, so only distinct words travel. Texts are read once into
-blocks of about ``BLOCK_CHARS``: a block holds its distinct words with their training counts and, for each
-document, which words it has how often. Counts are summed over blocks by ordinary groupings, costs come
-from joins, and each block is scored where the costs of its words come back to it. No table of the
-model is ever in one place.
+A text is read as its words (lower-cased A-Z), each ended by a blank, and one end mark: one sequence of
+bytes, and all of it is coded by the trie. A byte's context are the up to ``ORDER`` bytes before it, over
+blanks and words, back to the start of the text (before it: blanks); a context counts how often each byte
+followed it in the training texts, every occurrence counted. A byte is coded in the longest context that has
+it; where it is new, an escape is coded (method C: distinct followers over their sum with all occurrences) and
+the next shorter context is asked, in which the bytes already seen in the longer one are excluded; below order 0
+all bytes not yet excluded are equally likely. The score of a text is the sum of the log10 probabilities of its
+bytes, by the training texts alone.
+
+The cost of a byte depends on its context only, so only distinct (context, byte) pairs travel, sorted and packed
+by parts of their hash. Texts are read once into blocks of about ``BLOCK_CHARS``: a block holds its byte
+sequences, its distinct pairs and, for the base score, its distinct words, both with their training counts.
+Counts are summed over blocks by ordinary groupings, costs come from joins, and each block is scored where the
+costs of its pairs come back to it. No table of the model is ever in one place.
 
 A null or empty text has the end mark only. Rows without doc_id are scored like others and belong to the
 training texts. Repeated rows are scored one by one. With no training text all bytes are equally likely.
@@ -27,6 +27,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,65 +39,111 @@ FOLDS, HELD_OUT = 7, 2
 BLOCK_CHARS = 28 << 20
 END = b"\n"
 
-READ = "block long, word binary, at int, n long, payload binary"
+# Parts of the pairs of a block; pairs of one part meet in one group.
+PARTS = 64
+# Bytes whose pairs are made at once.
+STEP = 1 << 19
 
+READ = "block long, word binary, at int, n long, part int, pairs binary, counts binary, payload binary"
+ANSWER = "block long, at int, c long, pairs binary, costs binary"
 
-def word_pairs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(context, byte) pairs of all words as numbers of ORDER + 1 bytes, and where each word's begin."""
-    pad = b" " * ORDER
-    buf = np.frombuffer(b"".join(pad + w + (b" " if w != END else b"") for w in words), np.uint8)
-    count = np.array([len(w) + (w != END) for w in words], np.int64)
-    begin = np.cumsum(count) - count
-    first = np.cumsum(count + ORDER) - (count + ORDER)
-    at = np.repeat(first - begin, count) + np.arange(int(count.sum()))
+
+def text_pairs(before: list[bytes], texts: list[bytes]) -> np.ndarray:
+    """(context, byte) pairs of all bytes of the sequences as numbers of ORDER + 1 bytes; ``before``: the
+    ORDER bytes that each begins after."""
+    buf = np.frombuffer(b"".join(x for both in zip(before, texts) for x in both), np.uint8)
+    count = np.array([len(t) for t in texts], np.int64)
+    at = np.repeat(ORDER * np.arange(len(texts)), count) + np.arange(int(count.sum()))
     pair = np.zeros(len(at), np.int64)
     for k in range(ORDER + 1):
         pair = pair << 8 | buf[at + k]
-    return pair, begin
+    return pair
+
+
+def _steps(sequences: list[tuple[bytes, bytes]]):
+    """Runs (from, to) of sequences of about STEP bytes."""
+    start, size = 0, 0
+    for i, (_, t) in enumerate(sequences):
+        size += len(t)
+        if size >= STEP:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(sequences):
+        yield start, len(sequences)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Sorted or small numbers as compressed differences."""
+    return zlib.compress(np.diff(x, prepend=0).tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(raw), np.int64))
+
+
+def _sums(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    pair, at = np.unique(np.concatenate(pairs), return_inverse=True)
+    return pair, np.bincount(at, np.concatenate(counts), len(pair)).astype(np.int64)
+
+
+def _counted(sequence: bytes) -> Counter:
+    """The tokens of a byte sequence."""
+    found = Counter(sequence.split())
+    if sequence.endswith(END):
+        found[END] = 1
+    return found
 
 
 class _Block:
     def __init__(self):
         self.index: dict[bytes, int] = {}
-        self.rows, self.ids, self.counts, self.train = [], [], [], []
+        self.train, self.rows, self.sequences = [], [], []
         self.chars = 0
 
-    def add(self, row: int, doc, held: bool, found: Counter, chars: int) -> None:
-        index = self.index
-        for w in found:
-            if w not in index:
-                index[w] = len(index)
+    def add(self, row: int, doc, held: bool, before: bytes, sequence: bytes, chars: int) -> None:
+        for w, c in _counted(sequence).items():
+            i = self.index.setdefault(w, len(self.index))
+            if i == len(self.train):
                 self.train.append(0)
-        at = np.fromiter(map(index.__getitem__, found), np.int32, len(found))
-        n = np.fromiter(found.values(), np.int32, len(found))
-        if not held:
-            for i, c in zip(at.tolist(), n.tolist()):
+            if not held:
                 self.train[i] += c
         self.rows.append((row, doc, held))
-        self.ids.append(at)
-        self.counts.append(n)
+        self.sequences.append((before, sequence))
         self.chars += chars
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs with their training counts."""
+        pair, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for i, j in _steps(self.sequences):  # summed step by step: memory by distinct pairs, not by text
+            before, texts = zip(*self.sequences[i:j])
+            mine = np.repeat([not r[2] for r in self.rows[i:j]], [len(t) for t in texts])
+            some, at = np.unique(text_pairs(before, texts), return_inverse=True)
+            pair, n = _sums([pair, some], [n, np.bincount(at, mine, len(some)).astype(np.int64)])
+        return pair, n
+
     def batches(self, block: int):
         words = list(self.index)
         step = 1 << 16
         for i in range(0, len(words), step):
             part = words[i:i + step]
-            yield _batch(block, part, range(i, i + len(part)), self.train[i:i + step], None)
-        sizes = np.array([len(x) for x in self.ids], np.int64)
-        payload = (self.rows, len(words), sizes, np.concatenate(self.ids), np.concatenate(self.counts))
-        yield _batch(block, None, [0], [0], zlib.compress(pickle.dumps(payload), 1))
+            yield _batch([(block, w, i + k, n, None, None, None, None)
+                          for k, (w, n) in enumerate(zip(part, self.train[i:i + step]))])
+        pair, n = self.pairs()
+        home = _part(pair)
+        yield _batch([(block, None, None, None, p, _packed(pair[home == p]), _packed(n[home == p]), None)
+                      for p in np.unique(home).tolist()])
+        payload = zlib.compress(pickle.dumps((self.rows, self.sequences)), 1)
+        yield _batch([(block, None, None, None, None, None, None, payload)])
 
 
-def _batch(block, words, at, n, payload):
-    """``at``: the number of the word within the block. A block's payload has a row without a word."""
-    size = len(at)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(size, block), pa.int64()),
-         pa.array(words, pa.binary()) if words is not None else pa.nulls(size, pa.binary()),
-         pa.array(at, pa.int32()), pa.array(n, pa.int64()),
-         pa.array([payload], pa.binary()) if payload is not None else pa.nulls(size, pa.binary())],
-        [f.split()[0] for f in READ.split(", ")])
+def _part(pair: np.ndarray) -> np.ndarray:
+    return (pair * 0x9E3779B97F4A7C1 >> 40) % PARTS
+
+
+def _batch(rows, schema: str = READ):
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names, types = zip(*(f.split() for f in schema.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(zip(*rows), types)], list(names))
 
 
 def _read(batches):
@@ -104,13 +151,12 @@ def _read(batches):
     block, seq, row = _Block(), 0, 0
     for b in batches:
         for doc, held, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-            parts = list(slices(text or ""))
+            parts, before = list(slices(text or "")), b" " * ORDER
             for k, part in enumerate(parts):
-                found = Counter(words_of(part))
-                if k == len(parts) - 1:
-                    found[END] = 1
-                if found:
-                    block.add(task + row, doc, held, found, len(part))
+                sequence = b"".join(w + b" " for w in words_of(part)) + (END if k == len(parts) - 1 else b"")
+                if sequence:
+                    block.add(task + row, doc, held, before, sequence, len(part))
+                    before = (before + sequence)[-ORDER:]
                 if block.chars >= BLOCK_CHARS:
                     yield from block.batches(task + seq)
                     block, seq = _Block(), seq + 1
@@ -119,27 +165,26 @@ def _read(batches):
         yield from block.batches(task + seq)
 
 
-def _mask(order: int) -> Column:
-    """Keeps ``order`` context bytes and the byte."""
-    return F.lit((1 << (8 * (order + 1))) - 1)
+def _pairs_of_part(asked: pa.Table) -> pa.Table:
+    """The distinct pairs of a part with their training counts, over all blocks."""
+    pair, n = _sums(*([_unpacked(x) for x in asked.column(c).to_pylist()] for c in ("pairs", "counts")))
+    return pa.table([asked.column("part").combine_chunks().take(pa.array(np.zeros(len(pair), np.int64))),
+                     pa.array(pair), pa.array(n)], names=["part", "pair", "n"])
 
 
-def _pairs_seen(batches):
-    """How many of a batch's words have a pair."""
-    for b in batches:
-        words = b.column(0).to_pylist()
-        pair, n = np.unique(word_pairs(words)[0], return_counts=True) if words else (np.zeros(0, np.int64),) * 2
-        yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
+def _answer_part(asked: pa.Table, costs: pa.Table) -> pa.Table:
+    """The costs of each block's pairs of a part."""
+    pair, cost = costs.column("pair").to_numpy(), costs.column("cost").to_numpy()
+    order = np.argsort(pair)
+    pair, cost = pair[order], cost[order]
+    rows = [(block, None, None, raw, cost[np.searchsorted(pair, _unpacked(raw))].tobytes())
+            for block, raw in zip(asked.column("block").to_pylist(), asked.column("pairs").to_pylist())]
+    return pa.Table.from_batches([_batch(rows, ANSWER)])
 
 
-def _pairs_of(batches):
-    """Each word with each of its pairs."""
-    for b in batches:
-        words = b.column(0).to_pylist()
-        if words:
-            pair, begin = word_pairs(words)
-            back = np.repeat(np.arange(len(words)), np.diff(np.append(begin, len(pair))))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(back)), pa.array(pair, pa.int64())], ["word", "pair"])
+def _mask(order: int) -> Column:
+    """Keeps ``order`` context bytes and the byte."""
+    return F.lit((1 << (8 * (order + 1))) - 1)
 
 
 def pair_costs(seen: DataFrame, asked: DataFrame) -> DataFrame:
@@ -182,35 +227,38 @@ SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long,
 
 def _score(total: int, distinct: int):
     def run(answers: pa.Table, blocks: pa.Table) -> pa.Table:
-        rows, words, sizes, ids, n = pickle.loads(zlib.decompress(blocks.column("payload").to_pylist()[0]))
-        at = answers.column("at").to_numpy()
-        counts, cost = np.zeros(words, np.int64), np.zeros(words)
-        counts[at], cost[at] = answers.column("c").to_numpy(), answers.column("cost").to_numpy()
+        rows, sequences = pickle.loads(zlib.decompress(blocks.column("payload").to_pylist()[0]))
+        words = answers.filter(pc.is_valid(answers.column("at")))
+        counts = np.zeros(len(words), np.int64)
+        counts[words.column("at").to_numpy()] = words.column("c").to_numpy()
         base = np.log10((counts + 1) / (total + distinct + 1))
-        first = np.cumsum(sizes) - sizes
-        add = lambda x: np.add.reduceat(n * x[ids], first)
+        found = answers.filter(pc.is_valid(answers.column("pairs")))
+        pair = np.concatenate([_unpacked(x) for x in found.column("pairs").to_pylist()])
+        cost = np.concatenate([np.frombuffer(x, np.float64) for x in found.column("costs").to_pylist()])
+        order = np.argsort(pair)
+        pair, cost = pair[order], cost[order]
+        scores = []
+        for i, j in _steps(sequences):
+            before, texts = zip(*sequences[i:j])
+            size = np.array([len(t) for t in texts])
+            scores.append(np.add.reduceat(cost[np.searchsorted(pair, text_pairs(before, texts))], np.cumsum(size) - size))
+        index: dict[bytes, int] = {}
+        sums = []
+        for _, sequence in sequences:  # words have the numbers that reading gave them
+            tokens = _counted(sequence)
+            at = np.array([index.setdefault(w, len(index)) for w in tokens])
+            n = np.fromiter(tokens.values(), np.int64, len(tokens))
+            sums.append((int(n.sum()), int(n[counts[at] > 0].sum()), float((n * base[at]).sum())))
+        n_tokens, n_known, base_score = zip(*sums)
         return pa.table([
             pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-            pa.array([r[2] for r in rows]), pa.array(np.add.reduceat(n, first).astype(np.int64)),
-            pa.array(add((counts > 0).astype(np.int64)).astype(np.int64)), pa.array(add(base)), pa.array(add(cost))],
+            pa.array([r[2] for r in rows]), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+            pa.array(base_score, pa.float64()), pa.array(np.concatenate(scores))],
             names=[f.split()[0] for f in SCORED.split(", ")])
 
     return run
 
 
-def word_costs(words: DataFrame, total: int, distinct: int) -> DataFrame:
-    """(word, c, cost) from (word, c): log10 probability of every word."""
-    every = F.lit(float(max(1, total + distinct)))
-    seen = stored(words.where("c > 0").select("word").mapInArrow(_pairs_seen, "pair long, n long")
-                  .groupBy("pair").agg(F.sum("n").alias("n")), "lm-pairs")
-    new = stored(words.where("c = 0").select("word").mapInArrow(_pairs_of, "word binary, pair long"), "lm-new")
-    costs = pair_costs(seen, new.select("pair").distinct())
-    escape = float(np.log10(distinct / (total + distinct))) if total else 0.0
-    spelled = new.join(costs, "pair").groupBy("word").agg((F.sum("cost") + escape).alias("cost"), F.lit(0).cast("long").alias("c"))
-    known = words.where("c > 0").select("word", F.log10(F.col("c") / every).alias("cost"), "c")
-    return known.unionByName(spelled)
-
-
 def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     held = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
@@ -219,9 +267,15 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     asked = read.where("word is not null").select("block", "at", "word", "n")
     words = stored(asked.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     total, distinct = (int(x) for x in words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first())
-    costs = stored(word_costs(words, total, distinct), "lm-costs")
+    parts = read.where("pairs is not null").select("block", "part", "pairs", "counts")
+    pairs = stored(parts.groupBy("part").applyInArrow(_pairs_of_part, "part int, pair long, n long"), "lm-pairs")
+    costs = stored(pair_costs(pairs.where("n > 0").select("pair", "n"), pairs.select("pair"))
+                   .join(pairs.select("part", "pair"), "pair"), "lm-costs")
     release(docs.sparkSession)
-    answers = asked.select("block", "at", "word").join(costs, "word").select("block", "at", "c", "cost")
+    coded = parts.groupBy("part").cogroup(costs.groupBy("part")).applyInArrow(_answer_part, ANSWER)
+    answers = asked.select("block", "at", "word").join(words, "word").select(
+        "block", "at", "c", F.lit(None).cast("binary").alias("pairs"), F.lit(None).cast("binary").alias("costs"))
+    answers = answers.unionByName(coded)
     blocks = read.where("payload is not null").select(F.col("block").alias("own"), "payload")
     parts = answers.groupBy("block").cogroup(blocks.groupBy("own")).applyInArrow(_score(total, distinct), SCORED)
     whole = parts.groupBy("row").agg(
