@@ -63,3 +63,25 @@ def test_candidates_come_once(spark):
     for block in (20_000, 4):
         pairs = _candidates(vectors, "data_coleta", 0.5, block)
         assert pairs.count() == pairs.distinct().count() > 0
+
+
+def test_vectors_grow_with_the_title_not_its_square(spark):
+    """No list per position of a title: every row of a vector has one bound of fixed size, and it is a bound."""
+    from pyspark.sql import functions as F
+
+    from topicpulse.operators.similarity import SLOTS, title_groups, title_vectors, with_title_key
+
+    rows = [("d", i, " ".join(f"w{(i * 7 + j) % 90}" for j in range(60)), "", f"l{i}") for i in range(4)]
+    keyed = with_title_key(spark.createDataFrame(rows, SCHEMA))
+    sizes = keyed.groupBy("data_coleta").agg(F.count(F.lit(1)).alias("_n"))
+    got = title_vectors(title_groups(keyed, "data_coleta"), sizes, "data_coleta", 1).collect()
+    lists = {k: len(v) for r in got for k, v in r.asDict().items() if isinstance(v, list)}
+    assert lists == {"normas": SLOTS}
+    vectors, norms = {}, {}
+    for r in got:
+        vectors.setdefault(r["grupo"], {})[r["termo"]] = r["peso"]
+        norms[r["grupo"]] = r["normas"]
+    for a, va in vectors.items():
+        for b, vb in vectors.items():
+            cos = sum(w * vb.get(t, 0.0) for t, w in va.items())
+            assert sum(x * y for x, y in zip(norms[a], norms[b])) >= cos - 1e-5
