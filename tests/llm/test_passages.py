@@ -74,3 +74,29 @@ def test_runs_kept_apart_from_an_earlier_short_copy(spark):
     texts = [wrapped(prose(rnd, 30) + core + prose(rnd, 30), 10), wrapped(core + more, 9), wrapped(prose(rnd, 5) + core + more, 8)]
     new, _ = removed(spark, texts)
     assert [len(new[i].split()) for i in range(3)] == [100, 70, 5]
+
+
+def test_runs_travel_as_stretches(spark, monkeypatch):
+    """Copies, edited copies and shifted ones: an anchor has several classes; a row for each stretch, not for each run."""
+    rnd = random.Random(24)
+    base = prose(rnd, 400)
+    texts = [" ".join(base)] * 2
+    for _ in range(12):
+        a, b = sorted(rnd.sample(range(400), 2))
+        own = base[a:b] + prose(rnd, 5) + base[:a]
+        for k in rnd.sample(range(len(own)), 3):
+            own[k] = "x" + own[k]
+        texts.append(wrapped(own, rnd.randint(5, 40)))
+    texts += [texts[5], wrapped(texts[6].split(), 6)]
+    rows, stored = {}, substring_dedup.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(substring_dedup, "stored", counted)
+    new, _ = removed(spark, texts)
+    assert {i: t.split() for i, t in new.items()} == plain(list(enumerate(texts)))
+    runs = sum(max(0, len(t.split()) - SIZE + 1) for t in texts)
+    assert rows["passages-looked"] < runs / 4

@@ -10,8 +10,10 @@ A passage may also stand inside different texts, so every run of ``PASSAGE`` wor
 removed too, which takes out the whole of any longer run. Runs go over line breaks (``over_lines``), so the same words
 laid out in other lines are found. They are found in two steps, without pairs: of the hashes of ``GRAM`` words
 the least of each run is its anchor (``REACH`` of them lie in a run, so equal runs have equal anchors wherever they stand);
-then only runs whose anchor occurs twice are hashed as a whole and grouped. A run that overlaps its
-own first occurrence stays.
+then only runs whose anchor occurs twice are hashed as a whole and grouped. The runs that share one place of an anchor
+follow each other: they are a stretch, and travel as one row. Stretches of equal runs are one class, which has one first
+occurrence; only where an anchor has several classes are the runs of a class (once, not of each stretch) compared one by one.
+A run that overlaps its own first occurrence stays.
 
 Nodes are 64-bit hashes of the words. Null and empty texts have no passages. Rows repeated under
 one doc_id with one text are one document and share their removals; rows without doc_id come first
@@ -80,6 +82,17 @@ def run_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return mix((total[size:] - total[:-size]) * down[:len(h) - size + 1])
 
 
+def least(h: np.ndarray, size: int) -> np.ndarray:
+    """Place of the first least of each ``size`` values that follow each other."""
+    place, width = np.arange(len(h)), 1
+    while width < size:
+        step = min(width, size - width)
+        place = np.where(h[step:] < h[:-step], place[step:], place[:-step])
+        h = np.minimum(h[step:], h[:-step])
+        width += step
+    return place
+
+
 class Paragraphs:
     """Paragraphs and runs of some texts, all words in one array.
 
@@ -120,9 +133,25 @@ class Paragraphs:
         grams = run_hashes(self.words, GRAM)
         if not len(at):
             return np.zeros(0, np.int64), at
-        low = np.lib.stride_tricks.sliding_window_view(grams, REACH).argmin(axis=1)[at] + at
+        low = least(grams, REACH)[at]
         return grams[low].view(np.int64), low
 
+    def stretches(self, at: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the runs ``at`` with their anchors' places: where each stretch begins in ``at``, its class, the runs' nodes."""
+        begin = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        nodes = self.run_nodes(at)
+        # a node has its anchor in one place, so the set of its nodes gives a stretch
+        return begin, mix(np.add.reduceat(mix(nodes.view(np.uint64)), begin)).view(np.int64), nodes
+
+    def breaks(self, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Line starts within each stretch of ``size`` runs, after its first: offsets of a list, runs before, line."""
+        heads = np.flatnonzero(self.line_start == np.arange(len(self.words)))
+        a, b = np.searchsorted(heads, first, "right"), np.searchsorted(heads, first + size, "left")
+        count = np.maximum(b - a, 0)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        own = heads[np.repeat(a - ends[:-1], count) + np.arange(ends[-1])]
+        return ends, own - np.repeat(first, count), self.line[own]
+
     @property
     def spans(self) -> list[tuple]:
         at = self.runs(over_lines=False)
@@ -162,7 +191,11 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
 
 # A row for each paragraph, and one with the anchors of each text that has runs. ``pos``: words before it in the text.
 FOUND = "doc_id long, th long, line int, last int, pos int, node long, keys array<long>, anchors array<long>"
-LOOKED = "node long, shingles binary, doc_id long, th long, line int, first int, pos int"
+# A row for each asked line, and one for each stretch of ``size`` runs, with its first run's place and the line
+# starts behind that. ``nodes``: of its runs; a task gives them once or a few times for a class.
+LOOKED = ("node long, shingles binary, doc_id long, th long, line int, first int, pos int, anchor long, cls long, size int, "
+          "breaks array<struct<at:int,line:int>>, nodes array<long>")
+GIVEN = 500_000
 
 
 def _groups(texts: list[str]):
@@ -179,6 +212,24 @@ def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
+def _arrow(schema: str) -> list[pa.DataType]:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+             "array<struct<at:int,line:int>>": pa.list_(pa.struct([("at", pa.int32()), ("line", pa.int32())]))}
+    return [kinds[x.split()[1]] for x in schema.split(", ")]
+
+
+def _looked(n: int, **columns):
+    cols = [columns.get(c, pa.nulls(n, t)) for c, t in zip(_names(LOOKED), _arrow(LOOKED))]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, _arrow(LOOKED))],
+                                      _names(LOOKED))
+
+
+def _list(ends: np.ndarray, values: pa.Array, given: np.ndarray | None = None) -> pa.Array:
+    """Lists of ``values`` between ``ends``; null where not ``given`` (those are empty)."""
+    at = pa.array(ends, pa.int32()) if given is None else pa.array(ends, pa.int32(), mask=np.append(~given, False))
+    return pa.ListArray.from_arrays(at, values)
+
+
 def _find(batches):
     memo: dict = {}
     for b in batches:
@@ -208,9 +259,10 @@ def _find(batches):
 
 
 def _look(over_lines: bool):
-    """Shingles of the asked lines, and the runs that have an asked anchor; columns t, doc_id, th, asked, anchors."""
+    """Shingles of the asked lines, and the stretches that have an asked anchor; columns t, doc_id, th, asked, anchors."""
     def run(batches):
         memo: dict = {}
+        given: set[int] = set()
         for b in batches:
             texts, ids, ths, asked = (b.column(i).to_pylist() for i in range(4))
             marks = [np.array(x or [], np.int64) for x in b.column(4).to_pylist()]
@@ -220,22 +272,32 @@ def _look(over_lines: bool):
                 lines = [(n, np.unique(p.set_of(s)).tobytes()) for s in p.whole
                          if (n := want.get((i + s[0], s[1]))) is not None]
                 if lines:
-                    m = len(lines)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([x[0] for x in lines], pa.int64()), pa.array([x[1] for x in lines], pa.binary()),
-                         *[pa.nulls(m, pa.int64())] * 2, *[pa.nulls(m, pa.int32())] * 3], _names(LOOKED))
+                    yield _looked(len(lines), node=[x[0] for x in lines], shingles=[x[1] for x in lines])
                 at = p.runs(over_lines)
                 # asked by any text of the group: no run is missed, and equal runs are found by their nodes
-                at = at[np.isin(p.anchors(at)[0], np.concatenate(marks[i:j]))]
+                anchor, low = p.anchors(at)
+                hit = np.isin(anchor, np.concatenate(marks[i:j]))
+                at, anchor, low = at[hit], anchor[hit], low[hit]
                 if not len(at):
                     continue
-                text = np.searchsorted(p.ends, at, "right")
-                nulls = pa.nulls(len(at), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(p.run_nodes(at)), nulls,
-                     pa.array(ids[i:j], pa.int64()).take(pa.array(text)), pa.array(ths[i:j], pa.int64()).take(pa.array(text)),
-                     pa.array(p.line[at].astype(np.int32)), pa.array((at - p.line_start[at]).astype(np.int32)),
-                     pa.array((at - np.concatenate([[0], p.ends])[text]).astype(np.int32))], _names(LOOKED))
+                begin, cls, nodes = p.stretches(at, low)
+                first, size = at[begin], np.diff(np.append(begin, len(at)))
+                text = np.searchsorted(p.ends, first, "right")
+                if len(given) > GIVEN:
+                    given.clear()
+                new = np.zeros(len(cls), bool)
+                for k, c in enumerate(cls.tolist()):
+                    if c not in given:
+                        given.add(c)
+                        new[k] = True
+                ends, before, line = p.breaks(first, size)
+                breaks = pa.StructArray.from_arrays([pa.array(before, pa.int32()), pa.array(line, pa.int32())], ["at", "line"])
+                yield _looked(
+                    len(cls), doc_id=pa.array(ids[i:j], pa.int64()).take(pa.array(text)),
+                    th=pa.array(ths[i:j], pa.int64()).take(pa.array(text)), line=p.line[first], first=first - p.line_start[first],
+                    pos=first - np.concatenate([[0], p.ends])[text], anchor=anchor[begin], cls=cls, size=size,
+                    breaks=_list(ends, breaks), nodes=_list(np.concatenate([[0], np.cumsum(np.where(new, size, 0))]),
+                                                            pa.array(nodes[np.repeat(new, size)]), new))
 
     return run
 
@@ -278,7 +340,7 @@ PLACE = ["doc_id", "th", "pos"]
 
 
 def looked_up(rows: DataFrame, found: DataFrame, lines: DataFrame, met: DataFrame, over_lines: bool) -> DataFrame:
-    """Shingles of the paragraphs in cells, and the runs whose anchor occurs more than once."""
+    """Shingles of the paragraphs in cells, and the stretches of runs whose anchor occurs more than once."""
     prints = found.where("anchors is not null").select("doc_id", "th", F.explode("anchors").alias("anchor"))
     again = prints.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     ask = lines.join(met.select("node").distinct(), "node").select("at.doc_id", "at.th", F.struct("at.line", "node").alias("ask"))
@@ -301,7 +363,9 @@ def line_links(looked: DataFrame, met: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", over_lines: bool = False) -> DataFrame:
-    """Occurrences to remove: all but the first of each component or run, with the document of the first."""
+    """Occurrences to remove: all but the first of each component or run, with the document of the first.
+
+    A row has a whole line, or ``runs`` runs that follow each other, as one span."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
     found = stored(rows.mapInArrow(_find, FOUND), "paragraphs")
     whole = found.where("line is not null").withColumn("first", F.lit(0))
@@ -322,12 +386,40 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", over_li
     out = [*PLACE, "line", "first", "last", F.col("head.doc_id").alias("kept_in")]
     again = whole.join(heads, "node").where(place > F.col("head")).select(*out)
 
-    runs = looked.where("pos is not null").withColumn("last", F.col("first") + PASSAGE)
-    starts = (runs.groupBy("node").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-              .select("node", "head"))
+    segments = run_heads(looked.where("cls is not null")).withColumnRenamed("cls", "_cls")
+    runs = looked.where("cls is not null").join(segments, F.col("cls") == F.col("_cls"))
     apart = ~(F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("th") == F.col("head.th"))
               & (F.col("pos") < F.col("head.pos") + PASSAGE))
-    return again.unionByName(runs.join(starts, "node").where((place > F.col("head")) & apart).select(*out))
+    start = F.element_at(F.filter("breaks", lambda x: x["at"] <= F.col("low")), -1)  # the line in which run ``low`` begins
+    later = (runs.where((place > F.col("head")) & apart).withColumn("start", F.when(
+        F.exists("breaks", lambda x: x["at"] <= F.col("low")), start))
+             .withColumn("runs", F.col("high") - F.col("low") + 1)
+             .withColumn("first", F.coalesce(F.col("low") - F.col("start.at"), F.col("first") + F.col("low")))
+             .select("doc_id", "th", (F.col("pos") + F.col("low")).alias("pos"), F.coalesce("start.line", "line").alias("line"),
+                     "first", (F.col("first") + F.col("runs") - 1 + PASSAGE).alias("last"),
+                     F.col("head.doc_id").alias("kept_in"), "runs"))
+    return again.withColumn("runs", F.lit(None).cast("int")).unionByName(later)
+
+
+def run_heads(runs: DataFrame) -> DataFrame:
+    """(cls, head, low, high): the runs low to high of each stretch of the class first occur from ``head`` on, which is
+    the place that a run 0 would have there; left out where nothing but the first occurrence itself has them."""
+    classes = stored(runs.groupBy("anchor", "cls", "size").agg(F.min(F.struct(*PLACE)).alias("head"), F.count(F.lit(1)).alias("n")),
+                     "passage-classes")
+    many = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("anchor")
+    alone = classes.where("n > 1").join(many, "anchor", "left_anti").select(
+        "cls", "head", F.lit(0).alias("low"), (F.col("size") - 1).alias("high"))
+    several = classes.join(many, "anchor").select("cls", "head", "n")
+    nodes = runs.where("nodes is not null").select("cls", "nodes").join(several, "cls").dropDuplicates(["cls"])
+    each = stored(nodes.select("cls", "head", "n", F.posexplode("nodes").alias("k", "node")), "passage-runs")
+    at = F.struct("head.doc_id", "head.th", (F.col("head.pos") + F.col("k")).alias("pos"))
+    first = each.groupBy("node").agg(F.min(at).alias("at"))
+    # Runs between low and high may have a still earlier head: they are removed by that one as well, never by this one alone.
+    found = (each.join(first, "node")
+             .groupBy("cls", F.struct("at.doc_id", "at.th", (F.col("at.pos") - F.col("k")).alias("pos")).alias("own"), "head", "n")
+             .agg(F.min("k").alias("low"), F.max("k").alias("high")).where("n > 1 or own <> head")
+             .select("cls", F.col("own").alias("head"), "low", "high"))
+    return alone.unionByName(found)
 
 
 def _spans(items):
@@ -336,8 +428,11 @@ def _spans(items):
 
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, th, spans, kept_in): paragraphs and runs within lines, a span each, of documents that lose something."""
-    return repeats(docs, doc_id, text).groupBy("doc_id", "th").agg(
-        _spans(F.struct("line", "first", "last")).alias("spans"), _spans(F.col("kept_in")).alias("kept_in"))
+    run = F.transform(F.sequence(F.lit(0), F.col("runs") - 1), lambda k: F.struct(
+        "line", (F.col("first") + k).alias("first"), (F.col("first") + k + PASSAGE).alias("last")))
+    one = F.when(F.col("runs").isNull(), F.array(F.struct("line", "first", "last"))).otherwise(run)
+    return repeats(docs, doc_id, text).select("doc_id", "th", F.explode(one).alias("span"), "kept_in").groupBy("doc_id", "th").agg(
+        _spans(F.col("span")).alias("spans"), _spans(F.col("kept_in")).alias("kept_in"))
 
 
 def _joined(batches):
