@@ -336,3 +336,24 @@ def test_scores_use_contexts_over_words_and_occurrences(spark):
     assert got[held[0]]["base_score"] == pytest.approx(got[held[1]]["base_score"])
     assert got[held[0]]["score"] > got[held[1]]["score"] + 2
     assert got[held[0]]["score"] > -1  # seen often: nearly certain
+
+
+def test_words_of_a_block_travel_packed(spark, monkeypatch):
+    """Rows of a block are bounded by the parts, whatever its number of distinct words; scores stay the model's."""
+    rnd, sizes, stored = random.Random(25), {}, lm_score.stored
+    texts = [" ".join(f"{rnd.randrange(10 ** 6):x}" for _ in range(300)) for _ in range(40)]
+    texts += [None, " \t\n ", "a\x00b A\x00B é É\n", texts[2], texts[3].upper()]
+
+    def counted(df, name):
+        out = stored(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(lm_score, "stored", counted)
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    model = brute.Ppm([t for i, t in enumerate(texts) if not held[i]], lm_score.ORDER)
+    got = by_id(lm_score.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)))
+    for i, t in enumerate(texts):
+        assert got[i]["n_known"] == sum(model.c[w] > 0 for w in [*brute.words(brute.lower(t or "")), "\n"])
+        assert got[i]["base_score"] == pytest.approx(model.base(t)) and got[i]["score"] == pytest.approx(model.score(t))
+    assert sizes["lm-blocks"] <= lm_score.WORD_PARTS + lm_score.PARTS + 1 < len(model.c) / 10

@@ -11,9 +11,10 @@ bytes, by the training texts alone.
 
 The cost of a byte depends on its context only, so only distinct (context, byte) pairs travel, sorted and packed
 by parts of their hash. Texts are read once into blocks of about ``BLOCK_CHARS``: a block holds its byte
-sequences, its distinct pairs and, for the base score, its distinct words, both with their training counts.
-Counts are summed over blocks by ordinary groupings, costs come from joins, and each block is scored where the
-costs of its pairs come back to it. No table of the model is ever in one place.
+sequences, its distinct pairs and, for the base score, its distinct words, both with their training counts,
+words packed by parts as well. Counts are summed over blocks by groupings of the parts, costs come from joins, and each
+block is scored where the costs of its pairs and the counts of its words come back to it. No table of the model is
+ever in one place.
 
 A null or empty text has the end mark only. Rows without doc_id are scored like others and belong to the
 training texts. Repeated rows are scored one by one. With no training text all bytes are equally likely.
@@ -23,7 +24,6 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +39,14 @@ FOLDS, HELD_OUT = 7, 2
 BLOCK_CHARS = 28 << 20
 END = b"\n"
 
-# Parts of the pairs of a block; pairs of one part meet in one group.
-PARTS = 64
+# Parts of the pairs and of the words of a block; those of one part meet in one group.
+PARTS, WORD_PARTS = 64, 512
 # Bytes whose pairs are made at once.
-STEP = 1 << 19
+STEP = 1 << 21
 
-READ = "block long, word binary, at int, n long, part int, pairs binary, counts binary, payload binary"
-ANSWER = "block long, at int, c long, pairs binary, costs binary"
+READ = "block long, part int, words binary, pairs binary, counts binary, payload binary"
+COUNTED = "block long, part int, counts binary, total long, distinct long"
+ANSWER = "block long, part int, pairs binary, costs binary, counts binary"
 
 
 def text_pairs(before: list[bytes], texts: list[bytes]) -> np.ndarray:
@@ -53,17 +54,17 @@ def text_pairs(before: list[bytes], texts: list[bytes]) -> np.ndarray:
     ORDER bytes that each begins after."""
     buf = np.frombuffer(b"".join(x for both in zip(before, texts) for x in both), np.uint8)
     count = np.array([len(t) for t in texts], np.int64)
-    at = np.repeat(ORDER * np.arange(len(texts)), count) + np.arange(int(count.sum()))
-    pair = np.zeros(len(at), np.int64)
+    pair = np.zeros(len(buf) - ORDER, np.int64)
     for k in range(ORDER + 1):
-        pair = pair << 8 | buf[at + k]
-    return pair
+        pair <<= 8
+        pair |= buf[k:len(buf) - ORDER + k]
+    return pair[np.repeat(ORDER * np.arange(len(texts)), count) + np.arange(int(count.sum()))]
 
 
-def _steps(sequences: list[tuple[bytes, bytes]]):
+def _steps(sequences: list[bytes]):
     """Runs (from, to) of sequences of about STEP bytes."""
     start, size = 0, 0
-    for i, (_, t) in enumerate(sequences):
+    for i, t in enumerate(sequences):
         size += len(t)
         if size >= STEP:
             yield start, i + 1
@@ -72,68 +73,110 @@ def _steps(sequences: list[tuple[bytes, bytes]]):
         yield start, len(sequences)
 
 
+_CODEC = pa.Codec("zstd", 3)
+
+
+def _squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
+
+
+def _released(raw: bytes) -> bytes:
+    return _CODEC.decompress(raw[8:], int.from_bytes(raw[:8], "little"), asbytes=True) if int.from_bytes(raw[:8], "little") else b""
+
+
 def _packed(x: np.ndarray) -> bytes:
     """Sorted or small numbers as compressed differences."""
-    return zlib.compress(np.diff(x, prepend=0).tobytes(), 1)
+    return _squeezed(np.diff(x, prepend=0).tobytes())
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(raw), np.int64))
+    return np.cumsum(np.frombuffer(_released(raw), np.int64))
 
 
 def _sums(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    pair, at = np.unique(np.concatenate(pairs), return_inverse=True)
-    return pair, np.bincount(at, np.concatenate(counts), len(pair)).astype(np.int64)
-
-
-def _counted(sequence: bytes) -> Counter:
-    """The tokens of a byte sequence."""
-    found = Counter(sequence.split())
-    if sequence.endswith(END):
-        found[END] = 1
-    return found
+    """Counts summed by pair; every array is sorted."""
+    pair, n = np.concatenate(pairs), np.concatenate(counts)
+    order = np.argsort(pair, kind="stable")  # merges sorted runs
+    pair, n = pair[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])[:len(pair)])
+    return pair[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _counted(pair: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, sorted, and how often each stands where ``mine``."""
+    key = pair << 1 | mine
+    key.sort()
+    pair = key >> 1
+    first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+    return pair[first], np.add.reduceat(key & 1, first)
+
+
+def _places(pair: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Place of each asked pair among the sorted ones; asked in sorted runs, which find them sooner."""
+    out, size = np.empty(len(asked), np.int64), 1 << 16
+    for i in range(0, len(asked), size):
+        part = asked[i:i + size].astype(np.uint64)
+        key = part << np.uint64(16) | np.arange(len(part), dtype=np.uint64)  # a pair has 48 bits
+        key.sort()
+        out[i + (key & np.uint64(size - 1)).astype(np.int64)] = np.searchsorted(pair, (key >> np.uint64(16)).astype(np.int64))
+    return out
+
+
+def _tokens(raw: bytes) -> pa.Array:
+    """The tokens of byte sequences that follow each other, each with the blank after it; the end mark is one of its own."""
+    buf = np.frombuffer(raw, np.uint8)
+    ends = np.flatnonzero((buf == 32) | (buf == END[0])) + 1
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(raw)])
+
+
+class _Words:
+    """Distinct tokens of some sequences in the order of their parts, and each token's number in it."""
+
+    def __init__(self, sequences: list[bytes]):
+        coded = _tokens(b"".join(sequences)).dictionary_encode()
+        part = np.fromiter(map(zlib.crc32, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary)) % WORD_PARTS
+        order = np.argsort(part, kind="stable")
+        self.words, part = coded.dictionary.take(pa.array(order)), part[order]
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        self.at = number[coded.indices.to_numpy()]
+        self.parts, self.first = np.unique(part, return_index=True)
+        self.end = np.append(self.first[1:], len(part))
+        self.count = np.array([s.count(b" ") + s.endswith(END) for s in sequences], np.int64)  # tokens of each sequence
 
 
 class _Block:
     def __init__(self):
-        self.index: dict[bytes, int] = {}
-        self.train, self.rows, self.sequences = [], [], []
+        self.rows, self.before, self.sequences = [], [], []
         self.chars = 0
 
     def add(self, row: int, doc, held: bool, before: bytes, sequence: bytes, chars: int) -> None:
-        for w, c in _counted(sequence).items():
-            i = self.index.setdefault(w, len(self.index))
-            if i == len(self.train):
-                self.train.append(0)
-            if not held:
-                self.train[i] += c
         self.rows.append((row, doc, held))
-        self.sequences.append((before, sequence))
+        self.before.append(before)
+        self.sequences.append(sequence)
         self.chars += chars
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(self, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs with their training counts."""
         pair, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for i, j in _steps(self.sequences):  # summed step by step: memory by distinct pairs, not by text
-            before, texts = zip(*self.sequences[i:j])
-            mine = np.repeat([not r[2] for r in self.rows[i:j]], [len(t) for t in texts])
-            some, at = np.unique(text_pairs(before, texts), return_inverse=True)
-            pair, n = _sums([pair, some], [n, np.bincount(at, mine, len(some)).astype(np.int64)])
+            texts = self.sequences[i:j]
+            some, c = _counted(text_pairs(self.before[i:j], texts), np.repeat(mine[i:j], [len(t) for t in texts]))
+            pair, n = _sums([pair, some], [n, c])
         return pair, n
 
     def batches(self, block: int):
-        words = list(self.index)
-        step = 1 << 16
-        for i in range(0, len(words), step):
-            part = words[i:i + step]
-            yield _batch([(block, w, i + k, n, None, None, None, None)
-                          for k, (w, n) in enumerate(zip(part, self.train[i:i + step]))])
-        pair, n = self.pairs()
+        mine = np.array([not r[2] for r in self.rows])
+        w = _Words(self.sequences)
+        n = np.bincount(w.at[np.repeat(mine, w.count)], minlength=len(w.words))
+        yield _batch([(block, p, _squeezed(b"".join(w.words[i:j].to_pylist())), None, _packed(n[i:j]), None)
+                      for p, i, j in zip(w.parts.tolist(), w.first.tolist(), w.end.tolist())])
+        del w, n
+        pair, n = self.pairs(mine)
         home = _part(pair)
-        yield _batch([(block, None, None, None, p, _packed(pair[home == p]), _packed(n[home == p]), None)
-                      for p in np.unique(home).tolist()])
-        payload = zlib.compress(pickle.dumps((self.rows, self.sequences)), 1)
-        yield _batch([(block, None, None, None, None, None, None, payload)])
+        yield _batch([(block, p, None, _packed(pair[home == p]), _packed(n[home == p]), None) for p in np.unique(home).tolist()])
+        payload = _squeezed(pickle.dumps((self.rows, self.before, self.sequences)))
+        yield _batch([(block, None, None, None, None, payload)])
 
 
 def _part(pair: np.ndarray) -> np.ndarray:
@@ -153,7 +196,8 @@ def _read(batches):
         for doc, held, text in zip(*(b.column(i).to_pylist() for i in range(3))):
             parts, before = list(slices(text or "")), b" " * ORDER
             for k, part in enumerate(parts):
-                sequence = b"".join(w + b" " for w in words_of(part)) + (END if k == len(parts) - 1 else b"")
+                words = words_of(part)
+                sequence = (b" ".join(words) + b" " if words else b"") + (END if k == len(parts) - 1 else b"")
                 if sequence:
                     block.add(task + row, doc, held, before, sequence, len(part))
                     before = (before + sequence)[-ORDER:]
@@ -172,12 +216,26 @@ def _pairs_of_part(asked: pa.Table) -> pa.Table:
                      pa.array(pair), pa.array(n)], names=["part", "pair", "n"])
 
 
+def _words_of_part(asked: pa.Table) -> pa.Table:
+    """The training counts of each block's words of a part, over all blocks, and one row with their sum and number."""
+    words = [_tokens(_released(x)) for x in asked.column("words").to_pylist()]
+    coded = pa.concat_arrays(words).dictionary_encode()
+    at = coded.indices.to_numpy()
+    n = np.concatenate([_unpacked(x) for x in asked.column("counts").to_pylist()])
+    c = np.bincount(at, n, len(coded.dictionary)).astype(np.int64)
+    ends = np.cumsum([len(w) for w in words])
+    part = asked.column("part")[0].as_py()
+    rows = [(block, part, _packed(c[at[j - len(w):j]]), None, None)
+            for block, w, j in zip(asked.column("block").to_pylist(), words, ends.tolist())]
+    return pa.Table.from_batches([_batch([*rows, (None, part, None, int(c.sum()), int((c > 0).sum()))], COUNTED)])
+
+
 def _answer_part(asked: pa.Table, costs: pa.Table) -> pa.Table:
     """The costs of each block's pairs of a part."""
     pair, cost = costs.column("pair").to_numpy(), costs.column("cost").to_numpy()
     order = np.argsort(pair)
     pair, cost = pair[order], cost[order]
-    rows = [(block, None, None, raw, cost[np.searchsorted(pair, _unpacked(raw))].tobytes())
+    rows = [(block, None, raw, cost[np.searchsorted(pair, _unpacked(raw))].tobytes(), None)
             for block, raw in zip(asked.column("block").to_pylist(), asked.column("pairs").to_pylist())]
     return pa.Table.from_batches([_batch(rows, ANSWER)])
 
@@ -227,11 +285,15 @@ SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long,
 
 def _score(total: int, distinct: int):
     def run(answers: pa.Table, blocks: pa.Table) -> pa.Table:
-        rows, sequences = pickle.loads(zlib.decompress(blocks.column("payload").to_pylist()[0]))
-        words = answers.filter(pc.is_valid(answers.column("at")))
-        counts = np.zeros(len(words), np.int64)
-        counts[words.column("at").to_numpy()] = words.column("c").to_numpy()
+        rows, begin, sequences = pickle.loads(_released(blocks.column("payload").to_pylist()[0]))
+        w = _Words(sequences)
+        found = answers.filter(pc.is_valid(answers.column("counts"))).sort_by("part")
+        counts = np.concatenate([_unpacked(x) for x in found.column("counts").to_pylist()])
         base = np.log10((counts + 1) / (total + distinct + 1))
+        starts = np.cumsum(w.count) - w.count  # a sequence has a token at least
+        base_score, n_known = np.add.reduceat(base[w.at], starts), np.add.reduceat((counts > 0).astype(np.int64)[w.at], starts)
+        n_tokens = w.count
+        del w
         found = answers.filter(pc.is_valid(answers.column("pairs")))
         pair = np.concatenate([_unpacked(x) for x in found.column("pairs").to_pylist()])
         cost = np.concatenate([np.frombuffer(x, np.float64) for x in found.column("costs").to_pylist()])
@@ -239,17 +301,8 @@ def _score(total: int, distinct: int):
         pair, cost = pair[order], cost[order]
         scores = []
         for i, j in _steps(sequences):
-            before, texts = zip(*sequences[i:j])
-            size = np.array([len(t) for t in texts])
-            scores.append(np.add.reduceat(cost[np.searchsorted(pair, text_pairs(before, texts))], np.cumsum(size) - size))
-        index: dict[bytes, int] = {}
-        sums = []
-        for _, sequence in sequences:  # words have the numbers that reading gave them
-            tokens = _counted(sequence)
-            at = np.array([index.setdefault(w, len(index)) for w in tokens])
-            n = np.fromiter(tokens.values(), np.int64, len(tokens))
-            sums.append((int(n.sum()), int(n[counts[at] > 0].sum()), float((n * base[at]).sum())))
-        n_tokens, n_known, base_score = zip(*sums)
+            size = np.array([len(t) for t in sequences[i:j]])
+            scores.append(np.add.reduceat(cost[_places(pair, text_pairs(begin[i:j], sequences[i:j]))], np.cumsum(size) - size))
         return pa.table([
             pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
             pa.array([r[2] for r in rows]), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
@@ -264,18 +317,16 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     held = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
     read = stored(docs.select(F.col(doc_id).cast("long").alias("d"), held.alias("h"), F.col(text).alias("t"))
                   .mapInArrow(_read, READ), "lm-blocks")
-    asked = read.where("word is not null").select("block", "at", "word", "n")
-    words = stored(asked.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    total, distinct = (int(x) for x in words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first())
+    counted = stored(read.where("words is not null").select("block", "part", "words", "counts").groupBy("part")
+                     .applyInArrow(_words_of_part, COUNTED), "lm-words")
+    total, distinct = (int(x) for x in counted.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "distinct")]).first())
     parts = read.where("pairs is not null").select("block", "part", "pairs", "counts")
     pairs = stored(parts.groupBy("part").applyInArrow(_pairs_of_part, "part int, pair long, n long"), "lm-pairs")
     costs = stored(pair_costs(pairs.where("n > 0").select("pair", "n"), pairs.select("pair"))
                    .join(pairs.select("part", "pair"), "pair"), "lm-costs")
     release(docs.sparkSession)
     coded = parts.groupBy("part").cogroup(costs.groupBy("part")).applyInArrow(_answer_part, ANSWER)
-    answers = asked.select("block", "at", "word").join(words, "word").select(
-        "block", "at", "c", F.lit(None).cast("binary").alias("pairs"), F.lit(None).cast("binary").alias("costs"))
-    answers = answers.unionByName(coded)
+    answers = counted.where("counts is not null").select("block", "part", "counts").unionByName(coded, allowMissingColumns=True)
     blocks = read.where("payload is not null").select(F.col("block").alias("own"), "payload")
     parts = answers.groupBy("block").cogroup(blocks.groupBy("own")).applyInArrow(_score(total, distinct), SCORED)
     whole = parts.groupBy("row").agg(
