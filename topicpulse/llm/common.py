@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicpulse.runtime import scratch_path
+from topicpulse.runtime import release, scratch_path  # noqa: F401  (release is used from here)
 
 # Texts above this many code points are handled in slices.
 SLICE_CHARS = 1 << 20
@@ -27,12 +26,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of plans that are no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def slices(text: str, size: int = SLICE_CHARS) -> Iterator[str]:
     """The text in pieces of about ``size``, cut between a non-blank and one blank before a non-blank."""
     start = 0
