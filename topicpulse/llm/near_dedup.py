@@ -84,11 +84,12 @@ def pivots(count: int = PIVOTS) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(f"pivot {i}".encode(), SEED) for i in range(count)], np.uint64)
 
 
-def linked(cell: np.ndarray, fp: np.ndarray, radius: int,
-           same: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+def linked(cell: np.ndarray, fp: np.ndarray, radius: int, same: Callable[[int, int], bool] | None = None,
+           counts: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links (pairs of row numbers) that join two groups, over rows with cells together.
 
-    A pair within the radius is a link when ``same`` says so too, if given.
+    A pair within the radius is a link when ``same`` says so too, if given. With ``counts`` the radius only
+    tells which pairs are asked first: of the others all that ``possible`` leaves are asked too.
     """
     x, ref = fp.view(np.uint64), pivots()
     table = np.stack([np.bitwise_count(x ^ p) for p in ref], axis=1).astype(np.int8)
@@ -115,11 +116,51 @@ def linked(cell: np.ndarray, fp: np.ndarray, radius: int,
                 out.append(pair)
         if len(out) > joined:
             label = np.fromiter((sets.find(i) for i in range(len(x))), np.int64, len(x))
+    if counts is not None and same is not None:
+        out += _linked_apart(cell, x, radius, counts[order], sets, lambda i, j: same(int(order[i]), int(order[j])), order)
+    return out
+
+
+def possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Can sets with these counts per part of all hashes have a Jaccard similarity of ``SIMILARITY``? Never a false no.
+
+    The counts differ by no more than the sets do, and sets of n and m members with that similarity differ by (n + m) / 9.
+    """
+    size = a.sum(axis=1) + b.sum(axis=1)
+    return (np.abs(a - b).sum(axis=1) * 9 <= size) | (a[:, 0] < 0) | (b[:, 0] < 0)
+
+
+def _linked_apart(cell: np.ndarray, x: np.ndarray, radius: int, counts: np.ndarray, sets: Forest,
+                  same: Callable[[int, int], bool], order: np.ndarray) -> list[tuple[int, int]]:
+    """Links among the pairs beyond the radius, which ``linked`` has not asked."""
+    size = np.where(counts[:, 0] < 0, 1 << 40, counts.sum(axis=1))  # uncounted sets are last in their cell
+    by = np.lexsort((size, cell))
+    cell, x, size, counts = cell[by], x[by], size[by], counts[by]
+    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+    last = np.concatenate([first[1:], [len(cell)]]) - 1
+    open_ = np.repeat(counts[last, 0] < 0, last - first + 1)
+    roots = lambda: np.fromiter((sets.find(i) for i in by.tolist()), np.int64, len(by))
+    label, at, out = roots(), np.arange(len(by)), []
+    for lag in range(1, len(by)):
+        at = at[at + lag < len(by)]
+        # sorted by size within a cell: once four fifths are too few, they are for farther lags
+        at = at[(cell[at] == cell[at + lag]) & (open_[at] | (5 * size[at] >= 4 * size[at + lag]))]
+        if not len(at):
+            break
+        near = at[(label[at] != label[at + lag]) & (np.bitwise_count(x[at] ^ x[at + lag]) > radius)]
+        near = near[possible(counts[near], counts[near + lag])]
+        joined = len(out)
+        for i, j in zip(by[near].tolist(), by[near + lag].tolist()):
+            if sets.find(i) != sets.find(j) and same(i, j):
+                sets.union(i, j)
+                out.append((int(order[i]), int(order[j])))
+        if len(out) > joined:
+            label = roots()
     return out
 
 
 def _search(radius: int, verdict: Callable[[bytes, bytes], bool | None] | None = None):
-    """Over rows sorted by cell: cell, node (the fingerprint), or cell, node, fingerprint, what ``verdict`` compares.
+    """Over rows sorted by cell: cell, node (the fingerprint), or cell, node, fingerprint, what ``verdict`` compares, counts.
 
     With a verdict, rows of pairs it leaves open (None) come out as (cell, node, null), links as (null, a, b).
     """
@@ -133,7 +174,8 @@ def _search(radius: int, verdict: Callable[[bytes, bytes], bool | None] | None =
                     open_.update((i, j))
                 return bool(said)
 
-            pairs = linked(np.unique(cols[0], return_inverse=True)[1], fp, radius, same if verdict else None)
+            pairs = linked(np.unique(cols[0], return_inverse=True)[1], fp, radius, same if verdict else None,
+                           np.stack(cols[4]).astype(np.int64) if verdict else None)
             a, b = ([int(node[p[k]]) for p in pairs] for k in (0, 1))
             if not verdict:
                 return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -187,9 +229,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 # The stage. On 64 bits no radius parts a similarity of 0.8 from less: texts that alike differ in about 10 bits
-# and in up to 20, so a radius that small blocks can serve loses most of them. Here the cells come from MinHash
+# and, where a passage repeats in one of them, in any number. Here the cells come from MinHash
 # bands (a pair of similarity 0.8 meets with probability 1 - (1 - 0.8^5)^16 > 0.998), the pivot
-# tables discard pairs beyond STAGE_RADIUS bits, and survivors are verified by the Jaccard similarity of their shingles:
+# tables find the pairs within STAGE_RADIUS bits, which are asked first, and of the others those are asked that the
+# sizes of the sets and their counts in PIVOTS parts of all hashes allow, bounds that hold for every pair.
+# Pairs are verified by the Jaccard similarity of their shingles:
 # on sketches where these are whole sets or leave no doubt, else on the whole sets.
 STAGE_SHINGLE = 5
 STAGE_RADIUS = 20
@@ -199,6 +243,8 @@ SKETCH = 512
 # Of 512 draws at a similarity of 0.8 a share under the first or from the second on has a probability below 1e-13.
 SURE = 0.65, 0.93
 STAGE_CELL_ROWS = 2048
+# Texts with more distinct shingles are not counted by parts, so nothing is concluded from their counts.
+COUNTED = 1 << 22
 _BLOCK = 1024
 
 
@@ -206,15 +252,16 @@ def _multipliers() -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(f"band {i}".encode(), SEED) | 1 for i in range(BANDS * ROWS)], np.uint64)
 
 
-def signature(text: str, size: int = STAGE_SHINGLE) -> tuple[int, list[int], bytes]:
-    """(fingerprint, band keys, sketch) of the distinct shingles, in one pass and bounded memory.
+def signature(text: str, size: int = STAGE_SHINGLE) -> tuple[int, list[int], bytes, list[int]]:
+    """(fingerprint, band keys, sketch, counts) of the distinct shingles, in one pass and bounded memory.
 
     The sketch holds the ``SKETCH`` smallest 32-bit shingle hashes: the whole set where it has no more. A text
-    without words has no band keys.
+    without words has no band keys. ``counts``: distinct shingles by the remainder of their hash, -1 if not counted.
     """
     votes, n = np.zeros(64, np.int64), 0
     factors = _multipliers()
     least, low = np.full(len(factors), 2 ** 64 - 1, np.uint64), np.array([], np.uint32)
+    all_, late, counted = np.array([], np.uint64), [], True
     for h in shingle_hashes(text, size):
         for i in range(0, len(h), 1 << 16):
             part = h[i:i + (1 << 16)]
@@ -223,12 +270,21 @@ def signature(text: str, size: int = STAGE_SHINGLE) -> tuple[int, list[int], byt
             n += len(part)
             own = np.unique(part)
             low = np.unique(np.concatenate([low, (own >> np.uint64(32)).astype(np.uint32)]))[:SKETCH]
+            if counted:
+                late.append(own)
+                if sum(map(len, late)) >= max(len(all_), 1 << 16):  # united at doubled sizes
+                    all_, late = np.unique(np.concatenate([all_, *late])), []
+                    counted = len(all_) <= COUNTED
             for k in range(0, len(own), _BLOCK):
                 least = np.minimum(least, (factors[:, None] * own[None, k:k + _BLOCK]).min(axis=1))
     fp = int(np.packbits(2 * votes > n, bitorder="little").view(np.int64)[0])
     bands = least.reshape(BANDS, ROWS)
     keys = [xxhash.xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(bands)] if n else []
-    return fp, keys, low.tobytes()
+    counts = [-1] * PIVOTS
+    if counted:
+        all_ = np.unique(np.concatenate([all_, *late])) if late else all_
+        counts = np.bincount((all_ % np.uint64(PIVOTS)).astype(np.int64), minlength=PIVOTS).tolist()
+    return fp, keys, low.tobytes(), counts
 
 
 def jaccard(a: bytes, b: bytes) -> float:
@@ -280,18 +336,20 @@ def _sets(batches):
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, fp, keys, sketch, node); texts with equal signatures are one node."""
+    """(doc_id, th, fp, keys, sketch, counts, node); texts with equal signatures are one node."""
     def run(batches):
         for b in batches:
             found = [signature(t or "") for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([x[0] for x in found], pa.int64()),
-                 pa.array([x[1] for x in found], pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary())],
-                ["doc_id", "th", "fp", "keys", "sketch"])
+                 pa.array([x[1] for x in found], pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary()),
+                 pa.array([x[3] for x in found], pa.list_(pa.int64()))],
+                ["doc_id", "th", "fp", "keys", "sketch", "counts"])
 
     made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"),
-                       F.col("text").alias("t")).mapInArrow(run, "doc_id long, th long, fp long, keys array<long>, sketch binary")
-    return made.withColumn("node", F.xxhash64("fp", "keys", "sketch"))
+                       F.col("text").alias("t")).mapInArrow(
+                           run, "doc_id long, th long, fp long, keys array<long>, sketch binary, counts array<long>")
+    return made.withColumn("node", F.xxhash64("fp", "keys", "sketch", "counts"))
 
 
 def _settled(docs: DataFrame, nodes: DataFrame, open_: DataFrame) -> DataFrame:
@@ -301,8 +359,10 @@ def _settled(docs: DataFrame, nodes: DataFrame, open_: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_h"), F.col("text").alias("t"))
     texts = texts.join(asked, (F.col("_h") == F.col("_th")) & F.col("_d").eqNullSafe(F.col("_id"))).select("node", "t")
     sets = stored(texts.mapInArrow(_sets, "node long, shingles binary"), "near-sets")
+    release(docs.sparkSession)
     sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))  # rows repeated under one doc_id
-    met = open_.join(nodes.select("node", "fp"), "node").join(sets, "node").select("cell", "node", "fp", "shingles")
+    met = open_.join(nodes.select("node", "fp", "counts"), "node").join(sets, "node").select(
+        "cell", "node", "fp", "shingles", "counts")
     return stored(met.repartition("cell").sortWithinPartitions("cell").mapInArrow(
         _search(STAGE_RADIUS, alike_sets), "cell string, a long, b long").select("a", "b"), "near-exact")
 
@@ -312,10 +372,11 @@ def similar(docs: DataFrame, cell_rows: int = STAGE_CELL_ROWS) -> DataFrame:
     prints = stored(signatures(docs), "near-prints")
     nodes = stored(prints.groupBy("node").agg(
         F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "th")).alias("at"), F.first("fp").alias("fp"), F.first("keys").alias("keys"),
-        F.first("sketch").alias("sketch")), "near-nodes")
+        F.first("sketch").alias("sketch"), F.first("counts").alias("counts")), "near-nodes")
+    release(docs.sparkSession)
     # Sketches join only the rows of keys that two nodes share.
     dealt = cells(nodes.select("node", F.explode("keys").alias("key")), "key", "node", cell_rows).select("cell", "node")
-    met = dealt.join(nodes.select("node", "fp", "sketch"), "node").select("cell", "node", "fp", "sketch")
+    met = dealt.join(nodes.select("node", "fp", "sketch", "counts"), "node").select("cell", "node", "fp", "sketch", "counts")
     found = stored(met.repartition("cell").sortWithinPartitions("cell")
                    .mapInArrow(_search(STAGE_RADIUS, verdict), "cell string, a long, b long"), "near-links")
     release(docs.sparkSession)
