@@ -68,3 +68,50 @@ def test_long_and_short_posting_lists_give_the_same_pairs(monkeypatch):
         monkeypatch.setattr(similarity, "TILE", tile)
         found.append({tuple(sorted(p)) for p in zip(*(x.tolist() for x in similarity._near(*args)))})
     assert found[0] == found[1] == found[2] and found[0]
+
+
+def test_a_phrase_is_sought_at_starts_and_ends_of_words_only():
+    import pyarrow as pa
+
+    from topicpulse.operators import containment as c
+
+    words = ["abcdefghij", "xyzuvw", "ab"]
+    row = pa.RecordBatch.from_arrays(
+        [pa.array(["l"]), pa.array([0]), pa.array([3]), pa.array([c._squeeze("\n".join(words).encode())])],
+        names=["_lote", "_fatia", "_baldes", "_palavras"])
+
+    def sent(*modes):
+        out = [(m, w) for b in c._cut(1, modes)([row]) for m, x in zip(b.column(2).to_pylist(), b.column(5).to_pylist())
+               for w in c._names(x)]
+        return sorted(w for _, w in out if len(w) >= c.HEAD_CHARS)
+
+    assert sent(c.START) == ["abcdefghij", "xyzuvw"]
+    assert sent(c.END) == ["jihgfedcba", "wvuzyx"]
+    assert len(sent(c.ANYWHERE)) == 8 + 4
+
+
+def test_phrases_over_blanks_and_word_parts_equal_a_plain_search(spark, monkeypatch):
+    from topicpulse.operators import containment as c
+
+    monkeypatch.setattr(c, "BLOCK_CHARS", 60)
+    monkeypatch.setattr(c, "BUCKET_CHARS", 40)
+    monkeypatch.setattr(c, "WINDOW_CHARS", 6)
+    texts = ["casa nova no alto", " casa  nova", "a casa\nnova", "grandecasa novamente vem", "vem\tnova casa", "", "ção é bom x",
+             "longuissimapalavra curta", "umalonguissimapalavra curtas"]
+    phrases = ["casa nova", "a n", "casa  nova", "a\nn", "sa no", "nova", "ova c", "\tnova", "ção é", "é bom x", "va no al",
+               "longuissimapalavra curta", "a curta", "longuissimapalavro curta", " casa"]
+    articles = spark.createDataFrame([(i, "d", t) for i, t in enumerate(texts)], "id long, data string, texto_completo string")
+    terms = spark.createDataFrame([("d", p) for p in phrases], "data string, termo string")
+    got = [(r["id"], r["termo"]) for r in c.any_term_matches(articles, terms, ["id"], ["data"]).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(i, p) for i, t in enumerate(texts) for p in phrases if p in t}
+
+
+def test_a_search_stores_a_row_per_block(spark, monkeypatch):
+    from topicpulse.operators import containment as c
+
+    rows = _stored(monkeypatch, c)
+    articles = spark.createDataFrame([(i, "d", f"casa{i} nova") for i in range(50)], "id long, data string, texto_completo string")
+    terms = spark.createDataFrame([("d", "nova"), ("d", "nova")], "data string, termo string")
+    assert c.term_matches(articles, terms, ["id"], ["data"]).count() == 50
+    assert max(rows) == 1  # articles before
