@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from topicpulse.config import Config
 from topicpulse.functions.dates import shift_day
+from topicpulse.functions.text import full_text
 from topicpulse.operators.clean import arrival_order, clean_news, news_tokens
 from topicpulse.operators.dedup import dedup_news
 from topicpulse.operators.sentiment import Scorer, compute_sentiment
@@ -17,7 +18,7 @@ from topicpulse.operators.term_sentiment import term_sentiment
 from topicpulse.operators.terms import document_frequency, tfidf
 from topicpulse.operators.trends import emergence_backfill
 from topicpulse.plans.gold import gold_themes, gold_topics
-from topicpulse.runtime import cut_lineage
+from topicpulse.runtime import cut_lineage, release
 from topicpulse.schemas import BRONZE, GOLD_TOPICS, SILVER
 from topicpulse.sources.tables import (
     read_gold_topics, read_or_empty, upsert_gold, validate_non_empty, write_stage,
@@ -49,7 +50,9 @@ class Layout:
 
 def build_silver(bronze: DataFrame, config: Config, scorer: Scorer) -> DataFrame:
     """Clean, deduplicate within the run date, score and tokenise."""
-    ordered = arrival_order(clean_news(bronze))
+    # The whole text is title and summary again, so it is not stored with them.
+    ordered = arrival_order(clean_news(bronze).drop("texto_completo")).withColumn(
+        "texto_completo", full_text(F.col("titulo"), F.col("resumo")))
     unique = dedup_news(ordered, config.similarity, date_mode=config.date_mode)
     return news_tokens(compute_sentiment(unique, scorer), config).select(*SILVER.names)
 
@@ -75,15 +78,20 @@ def run_days(spark: SparkSession, base: str, days: Iterable[str], config: Config
     validate_non_empty(bronze, BRONZE.names)
     # Silver has four consumers, so it is stored once instead of recomputed.
     write_stage(build_silver(bronze, config, scorer), at.silver, days)
+    release(spark)
     silver = (read_or_empty(spark, at.silver, SILVER).filter(F.col("data_coleta").isin(days))
               .withColumn("data", F.col("data_coleta")))
 
     # The term table is small next to the texts; stored once, its size is known.
     freq = cut_lineage(document_frequency(silver, ["data"]))
+    release(spark)
     emerging = term_history(freq, read_gold_topics(spark, at.topics), days, config)
-    weights = tfidf(silver, "ordem", by=["data"], min_corpus=config.min_corpus,
-                    max_features=config.max_features, n_batches=len(days))
-    sentiment = term_sentiment(silver, freq)
+    # Stored, so that what one of them shuffles is let go before the next.
+    weights = cut_lineage(tfidf(silver, "ordem", by=["data"], min_corpus=config.min_corpus,
+                                max_features=config.max_features, n_batches=len(days)))
+    release(spark)
+    sentiment = cut_lineage(term_sentiment(silver, freq))
+    release(spark)
     topics = upsert_gold(gold_topics(emerging, weights, sentiment, config.themes), at.topics, days)
     themes = upsert_gold(gold_themes(silver, config.themes), at.themes, days)
 

@@ -58,7 +58,7 @@ def write_days(df: DataFrame, path: str, column: str, mode: str = "overwrite") -
 
     The rebalance splits a huge day over several tasks and merges small ones.
     """
-    (df.hint("rebalance", F.col(column)).write.mode(mode)
+    (df.hint("rebalance", F.col(column)).write.mode(mode).option("compression", "zstd")
      .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
 
 
