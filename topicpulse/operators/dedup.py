@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from topicpulse.functions.dates import publication_time
 from topicpulse.operators import running
 from topicpulse.operators.similarity import POSTING_BLOCK, similar_groups, with_title_key
-from topicpulse.runtime import broadcast_if, cut_lineage
+from topicpulse.runtime import broadcast_if, cut_lineage, release
 
 # Rows of one group that share a slice; larger groups are spread over several tasks.
 SLICE_ROWS = 50_000
@@ -308,6 +308,7 @@ def dedup_news(df: DataFrame, threshold: float = 0.75, batch: str = "data_coleta
     ``order`` is the arrival order, unique in a batch.
     """
     gone = cut_lineage(dropped_rows(df, threshold, batch, order, date_mode, block, slice_rows, component_rows))
+    release(df.sparkSession)
     return df.join(broadcast_if(gone, gone.count()), [order, batch], "left_anti")
 
 

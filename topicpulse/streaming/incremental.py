@@ -9,6 +9,7 @@ from topicpulse.config import Config
 from topicpulse.functions.dates import shift_day
 from topicpulse.operators.sentiment import Scorer
 from topicpulse.plans.daily import Layout, rescore_days, run_days
+from topicpulse.runtime import release
 from topicpulse.schemas import BRONZE
 from topicpulse.sources.feeds import _chunks, parse_items, project_feed
 from topicpulse.sources.tables import append_bronze, read_or_empty
@@ -64,6 +65,8 @@ def ingest(stream: DataFrame, base: str, config: Config, scorer: Scorer, checkpo
             touched = [r["data_coleta"] for r in batch.select("data_coleta").distinct().collect()]
             if touched:
                 append_new(batch, at.bronze, touched)
+                batch.unpersist()  # all else is read from bronze
+                release(spark)
                 run_days(spark, base, touched, config, scorer)
                 later = later_days(spark, at.bronze, touched, config.history_days)
                 if later:
