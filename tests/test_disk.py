@@ -115,3 +115,14 @@ def test_a_search_stores_a_row_per_block(spark, monkeypatch):
     terms = spark.createDataFrame([("d", "nova"), ("d", "nova")], "data string, termo string")
     assert c.term_matches(articles, terms, ["id"], ["data"]).count() == 50
     assert max(rows) == 1  # articles before
+
+
+@pytest.mark.parametrize("name", ["dedup_news", "dedup_audit", "dropped_rows"])
+def test_dedup_stores_rows_not_title_terms(spark, monkeypatch, name):
+    from topicpulse.operators import dedup
+
+    rows = _stored(monkeypatch, similarity)
+    data = [("d", i, " ".join(f"g{i // 2}w{j}" for j in range(30)) + f" own{i}", "2024-01-02", f"l{i}") for i in range(40)]
+    out = getattr(dedup, name)(spark.createDataFrame(data, SCHEMA), 0.75)
+    left = {"dedup_news": 20, "dedup_audit": 40, "dropped_rows": 20}[name]
+    assert out.count() == left and max(rows) == 40  # a row per term would be 1240
